@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half_up
 from ..operators import gold, silver
 from ..session import configure
-from . import inputs, oracle
+from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,53 +65,12 @@ def daily_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.build_daily(hourly_of(spark, sf_dir))
 
 
-TS = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
-DT = "strftime({0}, '%Y-%m-%d') AS {0}"
+
+def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+    """Cut floating-point noise that depends on the order of a sum."""
+    return df.withColumns({c: round_half_up(c, digits) for c in columns})
 
 
-def _hourly_columns() -> str:
-    return f"* REPLACE ({TS.format('pickup_hour')}, {DT.format('pickup_date')}, CAST(hour_of_day AS BIGINT) AS hour_of_day," \
-        " CAST(pu_location_id AS BIGINT) AS pu_location_id, CAST(vendor_id AS BIGINT) AS vendor_id)"
-
-
-# --------------------------------------------------------------------------- silver and gold
-@register("silver_trips", oracle.sql(
-    "SELECT trip_id, CAST(vendor_id AS BIGINT) vendor_id, CAST(rate_code_id AS BIGINT) rate_code_id,"
-    " CAST(pu_location_id AS BIGINT) pu_location_id, CAST(do_location_id AS BIGINT) do_location_id,"
-    f" {TS.format('tpep_pickup_datetime')}, {TS.format('tpep_dropoff_datetime')},"
-    " CAST(passenger_count AS BIGINT) passenger_count, trip_distance, store_and_fwd_flag,"
-    " CAST(payment_type AS BIGINT) payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount,"
-    " improvement_surcharge, congestion_surcharge, airport_fee, cbd_congestion_fee, total_amount,"
-    " 'trips_' || _batch_id || '.parquet' AS _source_file,"
-    " strftime(TIMESTAMP '2025-07-01 00:00:00' + INTERVAL 1 DAY * ing, '%Y-%m-%d %H:%M:%S') AS _ingested_at, _batch_id"
-    " FROM silver", "silver"))
-def _silver_trips(spark, sf_dir):
-    """Typed, de-duplicated, filtered trips."""
-    return silver_of(spark, sf_dir)
-
-
-@register("bad_row_report", oracle.sql(
-    "SELECT rows_checked, rule, rejected_rows FROM (SELECT count(*) AS rows_checked,"
-    " count(*) FILTER (WHERE NOT COALESCE(passenger_count > 0, false)) AS passenger_count_positive,"
-    " count(*) FILTER (WHERE NOT COALESCE(trip_distance > 0, false)) AS trip_distance_positive,"
-    " count(*) FILTER (WHERE NOT COALESCE(fare_amount > 0, false)) AS fare_amount_positive,"
-    " count(*) FILTER (WHERE NOT COALESCE(tpep_dropoff_datetime > tpep_pickup_datetime, false)) AS dropoff_after_pickup,"
-    " count(*) FILTER (WHERE NOT COALESCE(rate_code_id <> 99, false)) AS rate_code_known,"
-    " count(*) FILTER (WHERE NOT COALESCE(year(tpep_pickup_datetime) BETWEEN 2015 AND 2030, false)) AS pickup_year_plausible,"
-    " count(*) FILTER (WHERE NOT COALESCE(strftime(tpep_pickup_datetime,'%Y-%m') = _batch_id, false)) AS pickup_in_batch_month,"
-    " count(*) - (SELECT count(*) FROM silver) AS any_rule FROM latest)"
-    " UNPIVOT (rejected_rows FOR rule IN (passenger_count_positive, trip_distance_positive, fare_amount_positive,"
-    " dropoff_after_pickup, rate_code_known, pickup_year_plausible, pickup_in_batch_month, any_rule))", "silver"))
-def _bad_rows(spark, sf_dir):
-    return silver.bad_row_report(typed(spark, sf_dir))
-
-
-@register("gold_hourly", oracle.sql(f"SELECT {_hourly_columns()} FROM hourly", "hourly"))
-def _gold_hourly(spark, sf_dir):
-    return hourly_of(spark, sf_dir)
-
-
-@register("gold_daily", oracle.sql(
-    f"SELECT * REPLACE ({DT.format('pickup_date')}, CAST(pu_location_id AS BIGINT) AS pu_location_id) FROM daily", "daily"))
-def _gold_daily(spark, sf_dir):
-    return daily_of(spark, sf_dir)
+# SQL text of timestamps and dates as printed by ``plain``.
+TS = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
+DT = "strftime({0}, '%Y-%m-%d') AS {0}"

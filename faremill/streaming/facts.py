@@ -14,33 +14,31 @@ from ..sources import tables
 
 
 def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules: TripRules = TripRules()) -> Callable[[DataFrame, int], None]:
-    """Micro-batch step: append raw rows, rebuild the months they touch in every layer.
+    """Micro-batch step: append raw rows, rebuild the batches they touch in every layer.
 
-    A month is cleaned from all its raw rows, so copies of a trip that arrive in different
-    micro-batches or a late file end in the same tables as one batch run. The raw rows of a
-    micro-batch live in a folder named after its number; a replay overwrites it.
+    A batch is cleaned from all its raw rows, so copies of a trip that arrive in different
+    micro-batches or a late file end in the same tables as one run over the whole batch,
+    and only the touched partitions are read. The raw rows of a micro-batch live in a
+    folder named after its number; a replay overwrites it.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        rows = batch.withColumn("_load", F.lit(f"{number:08d}"))
+        load = f"{number:08d}"
         (
-            rows.write.mode("overwrite")
+            batch.withColumn("_load", F.lit(load))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_load", "_batch_id")
             .parquet(lake.bronze)
         )
         raw = tables.read_table(session, lake.bronze)
-        touched = sorted(r[0] for r in raw.filter(F.col("_load") == f"{number:08d}").select("_batch_id").distinct().collect())
+        touched = tables.touched_values(raw.filter(F.col("_load") == load), "_batch_id")
         if not touched:
             return
-        # A trip's copies may sit in a batch other than its month; clean from every raw row
-        # whose pickup or batch month is touched.
-        scope = F.col("_batch_id").isin(touched) | F.date_format("tpep_pickup_datetime", "yyyy-MM").isin(touched)
-        months = touched
-        cleaned = silver.build_silver(silver.typed_from_columns(raw.filter(scope).drop("_load"), rules), rules)
-        tables.replace_partitions(cleaned.filter(F.col("_batch_id").isin(months)), lake.silver, "_batch_id")
-        refresh_gold(session, lake, zones, months, rules)
+        typed = silver.typed_from_columns(raw.filter(F.col("_batch_id").isin(touched)), rules)
+        tables.replace_partitions(silver.build_silver(typed, rules), lake.silver, "_batch_id")
+        refresh_gold(session, lake, zones, touched, rules)
 
     return step
 
