@@ -23,6 +23,12 @@ def month_text(ts: Column | str) -> Column:
     return F.date_format(col_of(ts), MONTH_FORMAT)
 
 
+def in_month(ts: Column | str, month: Column | str) -> Column:
+    """Whether a timestamp lies in a month given as text (cheaper than formatting it)."""
+    first = F.concat(col_of(month), F.lit("-01")).try_cast("date")
+    return F.trunc(col_of(ts), "month") == first
+
+
 def epoch_micros(ts: Column | str) -> Column:
     return F.unix_micros(col_of(ts).cast("timestamp"))
 

@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import epoch_micros, micros_to_ntz, month_text
+from ..functions.calendar import epoch_micros, in_month, micros_to_ntz
 from ..functions.numeric import surrogate_key
 from ..schema import AUDIT_COLUMNS, RAW_FIELDS, TripRules
 
 
-def _typed(value: Column, dtype: str) -> Column:
-    if dtype == "int":
+_WHOLE = ("byte", "short", "integer", "long")
+
+
+def _typed(value: Column, dtype: str, source_type: str = "double") -> Column:
+    if dtype == "int" and source_type not in _WHOLE:
         # Source counts may arrive as floats; round, a bare cast would truncate.
         return F.round(value.cast("double")).cast("int")
     return value.cast(dtype)
@@ -21,11 +24,13 @@ def _typed(value: Column, dtype: str) -> Column:
 
 def typed_from_columns(raw: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     """Cast a raw scan with native columns; a field absent from the file becomes NULL."""
-    present = {c.lower(): c for c in raw.columns}
+    present = {f.name.lower(): f for f in raw.schema.fields}
     fields: dict[str, Column] = {}
     for source, name, dtype in RAW_FIELDS:
         found = present.get(source.lower())
-        fields[name] = _typed(F.col(found), dtype) if found else F.lit(None).cast(dtype)
+        fields[name] = (
+            _typed(F.col(found.name), dtype, found.dataType.typeName()) if found else F.lit(None).cast(dtype)
+        )
     return _with_key(raw, fields, rules)
 
 
@@ -48,7 +53,7 @@ def _with_key(df: DataFrame, fields: dict[str, Column], rules: TripRules) -> Dat
     fields = dict(fields)
     # Tips are recorded for card payments only.
     fields["tip_amount"] = F.when(fields["payment_type"] == rules.card_payment, fields["tip_amount"])
-    vendor, pickup, zone = (fields[k] for k in rules.dedup_keys)
+    vendor, pickup, zone = (fields[k] for k in rules.trip_id_parts)
     trip_id = surrogate_key(vendor, epoch_micros(pickup), zone).alias("trip_id")
     return df.select(
         trip_id,
@@ -78,7 +83,7 @@ def quality_predicates(rules: TripRules = TripRules()) -> dict[str, Column]:
         "dropoff_after_pickup": F.col("tpep_dropoff_datetime") > pickup,
         "rate_code_known": F.col("rate_code_id") != rules.unknown_rate_code,
         "pickup_year_plausible": F.year(pickup).between(rules.first_year, rules.last_year),
-        "pickup_in_batch_month": month_text(pickup) == F.col("_batch_id"),
+        "pickup_in_batch_month": in_month(pickup, "_batch_id"),
     }
 
 

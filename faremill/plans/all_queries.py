@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from . import queries_trips  # noqa: F401
+from . import queries_features, queries_tables, queries_trips  # noqa: F401

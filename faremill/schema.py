@@ -47,7 +47,11 @@ ZONE_SCHEMA = T.StructType(
 class TripRules:
     """Cleaning and revenue rules of the trip layers (fixed values of the data model)."""
 
-    dedup_keys: tuple[str, ...] = ("vendor_id", "tpep_pickup_datetime", "pu_location_id")
+    # Parts of the trip id text, in this order.
+    trip_id_parts: tuple[str, ...] = ("vendor_id", "tpep_pickup_datetime", "pu_location_id")
+    # Same columns for the window; the most distinct one leads so that the sort is
+    # decided by its 8-byte prefix.
+    dedup_keys: tuple[str, ...] = ("tpep_pickup_datetime", "pu_location_id", "vendor_id")
     # Load time first; the rest makes the winner unique when load times tie.
     dedup_tiebreak: tuple[str, ...] = (
         "do_location_id",

@@ -58,3 +58,16 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores when a scan has fewer splits than the cluster has cores.
+
+    A small file with one row group is one task, and every projection up to the first
+    shuffle would run on one core. A scan that already has enough splits is returned as
+    it is, so large inputs never pay for this shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, *keys)

@@ -16,27 +16,50 @@ from pyspark.sql import types as T
 
 from ..session import materialise
 
+_TYPES = {
+    "text": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "flag": T.BooleanType(),
+    "date": T.DateType(),
+    "time": T.TimestampNTZType(),
+}
+
+
+def _schema(columns: dict[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
+
+
 # Columns and types of the result tables.
-FORECAST_SCHEMA = T.StructType.fromDDL(
-    "pickup_hour TIMESTAMP_NTZ, pu_location_id INT, pickup_borough STRING, predicted_trip_count DOUBLE,"
-    " model_version STRING, _run_date DATE"
-)
-IMPACT_SCHEMA = T.StructType.fromDDL(
-    "pu_location_id INT, pickup_borough STRING, service_zone STRING, period STRING, treated BOOLEAN,"
-    " avg_trip_count DOUBLE, avg_revenue DOUBLE, avg_congestion_fees DOUBLE, did_trip_count DOUBLE,"
-    " did_revenue DOUBLE, p_value_trip_count DOUBLE, p_value_revenue DOUBLE, r2_trip_count DOUBLE,"
-    " r2_revenue DOUBLE, _run_date DATE"
-)
-MONITORING_SCHEMA = T.StructType.fromDDL(
-    "monitor_date DATE, prediction_month STRING, model_version STRING, model_run_id STRING, mae DOUBLE,"
-    " rmse DOUBLE, mape DOUBLE, training_test_mape DOUBLE, baseline_mape DOUBLE, mape_degraded BOOLEAN,"
-    " n_predictions BIGINT, n_actuals BIGINT, drifted_features STRING, n_drifted_features BIGINT,"
-    " _scored_at TIMESTAMP_NTZ"
-)
-ANOMALY_SCHEMA = T.StructType.fromDDL(
-    "anomaly_date DATE, pu_location_id INT, pickup_borough STRING, trip_count BIGINT, z_score DOUBLE,"
-    " revenue_z_score DOUBLE, is_anomaly BOOLEAN, _scored_at TIMESTAMP_NTZ"
-)
+FORECAST_SCHEMA = _schema(
+    {
+        "pickup_hour": "time", "pu_location_id": "int", "pickup_borough": "text", "predicted_trip_count": "double",
+        "model_version": "text", "_run_date": "date",
+    }
+)
+IMPACT_SCHEMA = _schema(
+    {
+        "pu_location_id": "int", "pickup_borough": "text", "service_zone": "text", "period": "text", "treated": "flag",
+        "avg_trip_count": "double", "avg_revenue": "double", "avg_congestion_fees": "double", "did_trip_count": "double",
+        "did_revenue": "double", "p_value_trip_count": "double", "p_value_revenue": "double", "r2_trip_count": "double",
+        "r2_revenue": "double", "_run_date": "date",
+    }
+)
+MONITORING_SCHEMA = _schema(
+    {
+        "monitor_date": "date", "prediction_month": "text", "model_version": "text", "model_run_id": "text", "mae": "double",
+        "rmse": "double", "mape": "double", "training_test_mape": "double", "baseline_mape": "double", "mape_degraded": "flag",
+        "n_predictions": "bigint", "n_actuals": "bigint", "drifted_features": "text", "n_drifted_features": "bigint",
+        "_scored_at": "time",
+    }
+)
+ANOMALY_SCHEMA = _schema(
+    {
+        "anomaly_date": "date", "pu_location_id": "int", "pickup_borough": "text", "trip_count": "bigint", "z_score": "double",
+        "revenue_z_score": "double", "is_anomaly": "flag", "_scored_at": "time",
+    }
+)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
