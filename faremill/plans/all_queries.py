@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from . import queries_features, queries_tables, queries_trips  # noqa: F401
+from . import queries_features, queries_models, queries_policy, queries_streams, queries_tables, queries_trips  # noqa: F401
