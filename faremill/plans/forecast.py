@@ -63,10 +63,21 @@ def train(
     return {"version": version, "beats_baseline": baseline - test.mape > 0, "splits": asdict(s)} | metrics
 
 
-def score_rows(model: models.FittedModel, hourly: DataFrame, run_date: date, version: str) -> DataFrame:
-    """Predictions for the run's month, rounded to two decimals."""
+def month_rows(hourly: DataFrame, run_date: date, lookback_hours: int) -> DataFrame:
+    """Complete feature rows of the run's month.
+
+    Lags count rows, so a zone needs 168 rows inside the look-back before it is scored from
+    the first hour on; a longer look-back helps where many zone-hours are empty.
+    """
     first, last = splits.scoring_window(run_date)
-    rows = features.complete_rows(features.build_feature_matrix(hourly, first, last))
+    return features.complete_rows(features.build_feature_matrix(hourly, first, last, lookback_hours))
+
+
+def score_rows(
+    model: models.FittedModel, hourly: DataFrame, run_date: date, version: str, lookback_hours: int = features.WEEK_HOURS
+) -> DataFrame:
+    """Predictions for the run's month, rounded to two decimals."""
+    rows = month_rows(hourly, run_date, lookback_hours)
     return model.predict(rows).select(
         "pickup_hour",
         "pu_location_id",
@@ -77,10 +88,18 @@ def score_rows(model: models.FittedModel, hourly: DataFrame, run_date: date, ver
     )
 
 
-def score(spark: SparkSession, hourly: DataFrame, run_date: date, registry: ModelRegistry, forecast_path: str) -> int:
+def score(
+    spark: SparkSession,
+    hourly: DataFrame,
+    run_date: date,
+    registry: ModelRegistry,
+    forecast_path: str,
+    lookback_hours: int = features.WEEK_HOURS,
+) -> int:
     """Score with the production model and replace the month (and any earlier try of this run)."""
     model, version = registry.load(MODEL_NAME, "production")
-    rows = materialise(tables.conform(score_rows(model, hourly, run_date, str(version)), tables.FORECAST_SCHEMA), "forecast")
+    scored = score_rows(model, hourly, run_date, str(version), lookback_hours)
+    rows = materialise(tables.conform(scored, tables.FORECAST_SCHEMA), "forecast")
     n = rows.count()
     if n == 0:
         raise ValueError(f"no feature rows for run {run_date}")
@@ -89,14 +108,20 @@ def score(spark: SparkSession, hourly: DataFrame, run_date: date, registry: Mode
 
 
 def monitor(
-    spark: SparkSession, hourly: DataFrame, run_date: date, registry: ModelRegistry, forecast_path: str, monitoring_path: str
+    spark: SparkSession,
+    hourly: DataFrame,
+    run_date: date,
+    registry: ModelRegistry,
+    forecast_path: str,
+    monitoring_path: str,
+    lookback_hours: int = features.WEEK_HOURS,
 ) -> DataFrame:
     """Compare the run's forecast with demand and replace its monitoring row."""
     info = registry.resolve(MODEL_NAME, "production")
     first, last = splits.scoring_window(run_date)
     predictions = tables.read_table(spark, forecast_path)
     accuracy = monitoring.forecast_accuracy(predictions, hourly, run_date, first, last)
-    current = features.complete_rows(features.build_feature_matrix(hourly, first, last))
+    current = month_rows(hourly, run_date, lookback_hours)
     drift = monitoring.feature_drift(current, spark.read.parquet(f"{info.path}-baseline"), FEATURES)
     nan = float("nan")
     row = monitoring.monitoring_row(

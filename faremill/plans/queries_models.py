@@ -14,6 +14,7 @@ from .catalog import hourly_of, register
 from .queries_features import KEYS, RUN_DATE
 
 # Smaller than the defaults: these queries show the operators, not the best error.
+LOOKBACK = 24 * 60  # the test panel has many empty zone-hours
 SMALL = {"maxIter": 10, "maxDepth": 4}
 
 
@@ -123,8 +124,8 @@ def _cycle(spark, sf_dir):
     registry = ModelRegistry(spark, f"{root}/registry")
     result = forecast.train(spark, hourly, RUN_DATE, registry, models.boosted_log(**SMALL), min_rows=1)
     registry.set_alias(forecast.MODEL_NAME, "production", result["version"])
-    forecast.score(spark, hourly, RUN_DATE, registry, f"{root}/forecast")
-    row = forecast.monitor(spark, hourly, RUN_DATE, registry, f"{root}/forecast", f"{root}/monitoring")
+    forecast.score(spark, hourly, RUN_DATE, registry, f"{root}/forecast", LOOKBACK)
+    row = forecast.monitor(spark, hourly, RUN_DATE, registry, f"{root}/forecast", f"{root}/monitoring", LOOKBACK)
     return row.drop("_scored_at", "run_key")
 
 
@@ -138,7 +139,7 @@ def _scored_month(spark, sf_dir):
     version = registry.register(forecast.MODEL_NAME, models.ridge(1.0).fit(train, val), RUN_DATE, {})
     registry.set_alias(forecast.MODEL_NAME, "production", version)
     for _ in range(2):
-        forecast.score(spark, hourly, RUN_DATE, registry, f"{root}/forecast")
+        forecast.score(spark, hourly, RUN_DATE, registry, f"{root}/forecast", LOOKBACK)
     return tables.read_table(spark, f"{root}/forecast").drop("forecast_month")
 
 
