@@ -10,17 +10,38 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(c: Column | str, digits: int) -> Column:
-    """Round half away from zero on the binary value, as a double.
+def half_up_sql(x: str, digits: int) -> str:
+    """Round half away from zero on the binary value, as a double; SQL text.
 
-    ``F.round`` goes through decimal text, which differs from other engines near
-    ties; scaling and ``floor`` gives one answer everywhere.
+    ``round`` goes through decimal text, which differs from other engines near ties;
+    scaling and ``floor`` gives one answer everywhere. Adding 0 turns -0 into 0.
     """
-    x = col_of(c)
+    s = f"{10**digits}D"
+    return f"(floor(abs({x}) * {s} + 0.5D) * signum({x}) / {s} + 0.0D)"
+
+
+def exact_sum_sql(x: str, digits: int = 4) -> str:
+    """Sum of a double that does not depend on row order; SQL text.
+
+    Each value is scaled to an integer with ``digits`` decimals, so partial sums on any
+    number of executors add up to the same bits. The running total is a bigint (about
+    9.2e14 units at four digits); ANSI mode raises on overflow.
+    """
+    s = f"{10**digits}D"
+    return f"(CAST(sum(floor(({x}) * {s} + 0.5D)) AS DOUBLE) / {s})"
+
+
+def ratio_sql(a: str, b: str) -> str:
+    """``a / b`` as a double, NULL when ``b`` is zero or NULL; SQL text."""
+    return f"try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+
+
+def round_half_up(c: Column | str, digits: int) -> Column:
+    """Column form of :func:`half_up_sql`."""
+    if isinstance(c, str):
+        return F.expr(half_up_sql(c, digits))
     scale = F.lit(float(10**digits))
-    up = F.floor(x * scale + F.lit(0.5))
-    down = -F.floor(-x * scale + F.lit(0.5))
-    return F.when(x < 0, down).otherwise(up).cast("double") / scale
+    return F.floor(F.abs(c) * scale + F.lit(0.5)) * F.signum(c) / scale + F.lit(0.0)
 
 
 def round_half_even(c: Column | str, digits: int) -> Column:
@@ -30,14 +51,11 @@ def round_half_even(c: Column | str, digits: int) -> Column:
 
 
 def exact_sum(c: Column | str, digits: int = 4) -> Column:
-    """Sum of a double column that does not depend on row order.
-
-    Each value is scaled to an integer with ``digits`` decimals, so partial sums on
-    any number of executors add up to the same bits. The running total is a bigint
-    (about 9.2e14 units at four digits); ANSI mode raises on overflow.
-    """
+    """Column form of :func:`exact_sum_sql`."""
+    if isinstance(c, str):
+        return F.expr(exact_sum_sql(c, digits))
     scale = float(10**digits)
-    return F.sum(F.floor(col_of(c) * F.lit(scale) + F.lit(0.5))).cast("double") / F.lit(scale)
+    return F.sum(F.floor(c * F.lit(scale) + F.lit(0.5))).cast("double") / F.lit(scale)
 
 
 def safe_ratio(a: Column | str, b: Column | str) -> Column:
@@ -60,11 +78,3 @@ def surrogate_key(*parts: Column) -> Column:
             pieces.append(F.lit("|"))
         pieces.append(p.cast("string"))
     return F.md5(F.concat(*pieces))
-
-
-def label_of(code: Column, labels: dict[int, str], default: str) -> Column:
-    """Decode a small set of codes; anything else, NULL included, gets ``default``."""
-    out = F.lit(default)
-    for value, text in reversed(labels.items()):
-        out = F.when(code == F.lit(value), F.lit(text)).otherwise(out)
-    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import hour_number, next_day, ntz_literal, weekday_monday0
@@ -50,23 +50,39 @@ def borough_code(borough: Column | str) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), name), F.lit(BOROUGH_DEFAULT_CODE))
 
 
+def _by_series(df: DataFrame, spec: PanelSpec, chunked: bool) -> DataFrame:
+    """Hash the series over the session's shuffle partitions ahead of their windows.
+
+    This is the shuffle the windows need anyway. Naming the number keeps adaptive execution
+    from merging small but compute-heavy partitions into one task.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, spec.key, *([CHUNK] if chunked else []))
+
+
 def row_lag_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), rows_per_chunk: int | None = None) -> DataFrame:
     """Lags and trailing means counted in rows of each series, current row excluded.
 
-    All features use one window partitioning, hence one shuffle and one sort. With
+    A trailing mean is the difference of two running sums, so its cost does not grow with
+    the length of the window; the target is a whole number, hence the difference is exact.
+    All windows share one partitioning and order: one shuffle and one sort. With
     ``rows_per_chunk`` a long series is spread over several tasks.
     """
     chunked = rows_per_chunk is not None
     if chunked:
         panel = row_chunks(panel, [spec.key], spec.time, max(LAGS + ROLLING), rows_per_chunk)
-    order = F.col(POSITION) if chunked else F.col(spec.time)
-    w = series_window([spec.key], order, chunked)
-    target = F.col(spec.target).cast("double")
-    columns = {f"lag_{k}h_{spec.target}": F.lag(target, k).over(w) for k in LAGS}
-    columns |= {f"rolling_{k}h_avg_{spec.target}": F.avg(target).over(w.rowsBetween(-k, -1)) for k in ROLLING}
+    w = series_window([spec.key], F.col(POSITION) if chunked else F.col(spec.time), chunked)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = _by_series(panel, spec, chunked).withColumns(
+        {"_sum": F.sum(F.coalesce(F.col(spec.target), F.lit(0))).over(so_far), "_n": F.count(spec.target).over(so_far)}
+    )
+    columns = {f"lag_{k}h_{spec.target}": F.lag(F.col(spec.target).cast("double"), k).over(w) for k in LAGS}
+    for k in ROLLING:
+        total, n = (F.lag(c, 1).over(w) - F.lag(c, k + 1, 0).over(w) for c in ("_sum", "_n"))
+        columns[f"rolling_{k}h_avg_{spec.target}"] = F.try_divide(total.cast("double"), n.cast("double"))
     if spec.exogenous:
         columns["lag_168h_congestion_fees"] = F.lag(F.col(spec.exogenous), WEEK_HOURS).over(w)
-    out = panel.withColumns(columns)
+    out = running.withColumns(columns).drop("_sum", "_n")
     return own_rows(out) if chunked else out
 
 
@@ -80,6 +96,7 @@ def hour_lag_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), hours_per
     chunked = hours_per_chunk is not None
     if chunked:
         df = range_chunks(df, F.col("_hour"), max(LAGS + ROLLING), hours_per_chunk)
+    df = _by_series(df, spec, chunked)
     w = series_window([spec.key], "_hour", chunked)
     target = F.col(spec.target).cast("double")
     columns = {f"lag_{k}h_{spec.target}": F.max(target).over(w.rangeBetween(-k, -k)) for k in LAGS}

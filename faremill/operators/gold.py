@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import HOUR_TEXT_FORMAT, hour_of, minutes_between, month_text
-from ..functions.numeric import exact_sum, label_of, round_half_up, safe_ratio, surrogate_key
+from ..functions.numeric import exact_sum_sql, half_up_sql, ratio_sql
 from ..schema import TripRules
 
 
@@ -34,6 +34,10 @@ def with_zone_labels(df: DataFrame, zones: DataFrame, rules: TripRules = TripRul
     )
 
 
+def _named(measures: dict[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in measures.items()]
+
+
 def build_hourly(silver: DataFrame, zones: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     """One row per hour, pickup zone and vendor.
 
@@ -54,107 +58,109 @@ def build_hourly(silver: DataFrame, zones: DataFrame, rules: TripRules = TripRul
         "airport_fee",
         minutes_between("tpep_pickup_datetime", "tpep_dropoff_datetime").alias("minutes"),
     )
-    tip_pct = F.when(
-        F.col("tip_amount").isNotNull() & (F.col("fare_amount") > 0),
-        F.col("tip_amount") / F.col("fare_amount") * F.lit(100.0),
-    )
+    tip_pct = "CASE WHEN tip_amount IS NOT NULL AND fare_amount > 0 THEN tip_amount / fare_amount * 100.0D END"
     sums = trips.groupBy("pickup_hour", "pu_location_id", "vendor_id").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum("passenger_count").alias("total_passengers"),
-        F.count("passenger_count").alias("_passenger_rows"),
-        exact_sum("total_amount").alias("_revenue"),
-        exact_sum("fare_amount").alias("_fare"),
-        exact_sum("trip_distance").alias("_miles"),
-        F.count("trip_distance").alias("_mile_rows"),
-        F.sum("minutes").alias("_minutes"),
-        F.count("minutes").alias("_minute_rows"),
-        exact_sum(tip_pct, 6).alias("_tip_pct"),
-        F.count(tip_pct).alias("_tip_rows"),
-        F.count_if(F.col("payment_type") == rules.card_payment).alias("_card_trips"),
-        exact_sum(F.coalesce(F.col("cbd_congestion_fee"), F.lit(0.0))).alias("_congestion"),
-        exact_sum(F.coalesce(F.col("airport_fee"), F.lit(0.0))).alias("_airport"),
+        *_named(
+            {
+                "trip_count": "count(1)",
+                "total_passengers": "sum(passenger_count)",
+                "_passenger_rows": "count(passenger_count)",
+                "_revenue": exact_sum_sql("total_amount"),
+                "_fare": exact_sum_sql("fare_amount"),
+                "_miles": exact_sum_sql("trip_distance"),
+                "_mile_rows": "count(trip_distance)",
+                "_minutes": "sum(minutes)",
+                "_minute_rows": "count(minutes)",
+                "_tip_pct": exact_sum_sql(tip_pct, 6),
+                "_tip_rows": f"count({tip_pct})",
+                "_card_trips": f"count_if(payment_type = {rules.card_payment})",
+                "_congestion": exact_sum_sql("coalesce(cbd_congestion_fee, 0.0D)"),
+                "_airport": exact_sum_sql("coalesce(airport_fee, 0.0D)"),
+            }
+        )
     )
     labelled = with_zone_labels(sums, zones, rules)
-    hour = F.col("pickup_hour")
-    trips_n = F.col("trip_count")
-    return labelled.select(
-        surrogate_key(
-            F.date_format(hour, HOUR_TEXT_FORMAT), F.col("pu_location_id"), F.col("vendor_id")
-        ).alias("fct_id"),
-        "pickup_hour",
-        F.to_date(hour).alias("pickup_date"),
-        F.hour(hour).alias("hour_of_day"),
-        F.dayname(hour).alias("day_of_week"),
-        "pu_location_id",
-        "pickup_borough",
-        "pickup_zone",
-        "service_zone",
-        "vendor_id",
-        label_of(F.col("vendor_id"), rules.vendor_labels, rules.missing_label).alias("vendor_name"),
-        "trip_count",
-        "total_passengers",
-        round_half_up(safe_ratio("total_passengers", "_passenger_rows"), 2).alias("avg_passengers_per_trip"),
-        round_half_up("_revenue", 2).alias("total_revenue"),
-        round_half_up("_fare", 2).alias("total_fare"),
-        round_half_up(safe_ratio("_revenue", trips_n), 2).alias("revenue_per_trip"),
-        round_half_up("_miles", 2).alias("total_distance_miles"),
-        round_half_up(safe_ratio("_miles", "_mile_rows"), 2).alias("avg_distance_miles"),
-        round_half_up(safe_ratio("_revenue", "_miles"), 2).alias("revenue_per_mile"),
-        round_half_up(safe_ratio("_minutes", "_minute_rows"), 1).alias("avg_trip_duration_minutes"),
-        round_half_up(safe_ratio("_tip_pct", "_tip_rows"), 1).alias("avg_tip_pct"),
-        round_half_up(safe_ratio(F.col("_card_trips") * F.lit(100.0), trips_n), 1).alias("credit_card_trip_pct"),
-        round_half_up("_congestion", 2).alias("total_congestion_fees"),
-        round_half_up("_airport", 2).alias("total_airport_fees"),
-    )
+    vendor_name = " ".join(f"WHEN {code} THEN '{label}'" for code, label in rules.vendor_labels.items())
+    key = f"md5(concat(date_format(pickup_hour, '{HOUR_TEXT_FORMAT}'), '|', pu_location_id, '|', vendor_id))"
+    columns = {
+        "fct_id": key,
+        "pickup_hour": "pickup_hour",
+        "pickup_date": "to_date(pickup_hour)",
+        "hour_of_day": "hour(pickup_hour)",
+        "day_of_week": "dayname(pickup_hour)",
+        "pu_location_id": "pu_location_id",
+        "pickup_borough": "pickup_borough",
+        "pickup_zone": "pickup_zone",
+        "service_zone": "service_zone",
+        "vendor_id": "vendor_id",
+        "vendor_name": f"CASE vendor_id {vendor_name} ELSE '{rules.missing_label}' END",
+        "trip_count": "trip_count",
+        "total_passengers": "total_passengers",
+        "avg_passengers_per_trip": half_up_sql(ratio_sql("total_passengers", "_passenger_rows"), 2),
+        "total_revenue": half_up_sql("_revenue", 2),
+        "total_fare": half_up_sql("_fare", 2),
+        "revenue_per_trip": half_up_sql(ratio_sql("_revenue", "trip_count"), 2),
+        "total_distance_miles": half_up_sql("_miles", 2),
+        "avg_distance_miles": half_up_sql(ratio_sql("_miles", "_mile_rows"), 2),
+        "revenue_per_mile": half_up_sql(ratio_sql("_revenue", "_miles"), 2),
+        "avg_trip_duration_minutes": half_up_sql(ratio_sql("_minutes", "_minute_rows"), 1),
+        "avg_tip_pct": half_up_sql(ratio_sql("_tip_pct", "_tip_rows"), 1),
+        "credit_card_trip_pct": half_up_sql(ratio_sql("_card_trips * 100.0D", "trip_count"), 1),
+        "total_congestion_fees": half_up_sql("_congestion", 2),
+        "total_airport_fees": half_up_sql("_airport", 2),
+    }
+    return labelled.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+
+
+# Trips paid by card in an hourly row, and the tip share weighted by them. Rows without a tip
+# share are left out on both sides of the ratio.
+CARD_TRIPS = "credit_card_trip_pct / 100.0D * trip_count"
+TIP_SUM = exact_sum_sql(f"avg_tip_pct * ({CARD_TRIPS})", 6)
+TIP_WEIGHT = exact_sum_sql(f"CASE WHEN avg_tip_pct IS NOT NULL THEN {CARD_TRIPS} END", 6)
 
 
 def build_daily(hourly: DataFrame) -> DataFrame:
     """One row per day and pickup zone, rolled up from the rounded hourly rows.
 
-    Averages are weighted by trips; the tip share is weighted by card trips and leaves
-    out hourly rows without a tip share on both sides of the ratio.
+    Averages are weighted by trips, the tip share by card trips.
     """
-    trips = F.col("trip_count")
-    card_trips = F.col("credit_card_trip_pct") / F.lit(100.0) * trips
-    has_tip = F.col("avg_tip_pct").isNotNull()
-    sums = hourly.groupBy(
-        "pickup_date", "day_of_week", "pu_location_id", "pickup_borough", "pickup_zone", "service_zone"
-    ).agg(
-        F.sum("trip_count").alias("_trips"),
-        F.sum("total_passengers").alias("_passengers"),
-        exact_sum("total_revenue").alias("_revenue"),
-        exact_sum("total_fare").alias("_fare"),
-        exact_sum("total_distance_miles").alias("_miles"),
-        exact_sum(F.col("avg_trip_duration_minutes") * trips).alias("_minutes"),
-        exact_sum(F.col("avg_tip_pct") * card_trips, 6).alias("_tip"),
-        exact_sum(F.when(has_tip, card_trips), 6).alias("_tip_weight"),
-        exact_sum(F.col("credit_card_trip_pct") * trips).alias("_card"),
-        exact_sum("total_congestion_fees").alias("_congestion"),
-        exact_sum("total_airport_fees").alias("_airport"),
-    )
-    return sums.select(
-        surrogate_key(F.date_format("pickup_date", "yyyy-MM-dd"), F.col("pu_location_id")).alias("fct_id"),
-        "pickup_date",
-        "day_of_week",
-        "pu_location_id",
-        "pickup_borough",
-        "pickup_zone",
-        "service_zone",
-        F.col("_trips").alias("trip_count"),
-        F.col("_passengers").alias("total_passengers"),
-        round_half_up(safe_ratio("_passengers", "_trips"), 2).alias("avg_passengers_per_trip"),
-        round_half_up("_revenue", 2).alias("total_revenue"),
-        round_half_up("_fare", 2).alias("total_fare"),
-        round_half_up(safe_ratio("_revenue", "_trips"), 2).alias("revenue_per_trip"),
-        round_half_up("_miles", 2).alias("total_distance_miles"),
-        round_half_up(safe_ratio("_miles", "_trips"), 2).alias("avg_distance_miles"),
-        round_half_up(safe_ratio("_revenue", "_miles"), 2).alias("revenue_per_mile"),
-        round_half_up(safe_ratio("_minutes", "_trips"), 1).alias("avg_trip_duration_minutes"),
-        round_half_up(safe_ratio("_tip", "_tip_weight"), 1).alias("avg_tip_pct"),
-        round_half_up(safe_ratio("_card", "_trips"), 1).alias("credit_card_trip_pct"),
-        round_half_up("_congestion", 2).alias("total_congestion_fees"),
-        round_half_up("_airport", 2).alias("total_airport_fees"),
+    labels = ["pickup_date", "day_of_week", "pu_location_id", "pickup_borough", "pickup_zone", "service_zone"]
+    sums = hourly.groupBy(*labels).agg(
+        *_named(
+            {
+                "_trips": "sum(trip_count)",
+                "_passengers": "sum(total_passengers)",
+                "_revenue": exact_sum_sql("total_revenue"),
+                "_fare": exact_sum_sql("total_fare"),
+                "_miles": exact_sum_sql("total_distance_miles"),
+                "_minutes": exact_sum_sql("avg_trip_duration_minutes * trip_count"),
+                "_tip": TIP_SUM,
+                "_tip_weight": TIP_WEIGHT,
+                "_card": exact_sum_sql("credit_card_trip_pct * trip_count"),
+                "_congestion": exact_sum_sql("total_congestion_fees"),
+                "_airport": exact_sum_sql("total_airport_fees"),
+            }
+        )
     )
+    columns = {"fct_id": "md5(concat(date_format(pickup_date, 'yyyy-MM-dd'), '|', pu_location_id))"}
+    columns |= {c: c for c in labels}
+    columns |= {
+        "trip_count": "_trips",
+        "total_passengers": "_passengers",
+        "avg_passengers_per_trip": half_up_sql(ratio_sql("_passengers", "_trips"), 2),
+        "total_revenue": half_up_sql("_revenue", 2),
+        "total_fare": half_up_sql("_fare", 2),
+        "revenue_per_trip": half_up_sql(ratio_sql("_revenue", "_trips"), 2),
+        "total_distance_miles": half_up_sql("_miles", 2),
+        "avg_distance_miles": half_up_sql(ratio_sql("_miles", "_trips"), 2),
+        "revenue_per_mile": half_up_sql(ratio_sql("_revenue", "_miles"), 2),
+        "avg_trip_duration_minutes": half_up_sql(ratio_sql("_minutes", "_trips"), 1),
+        "avg_tip_pct": half_up_sql(ratio_sql("_tip", "_tip_weight"), 1),
+        "credit_card_trip_pct": half_up_sql(ratio_sql("_card", "_trips"), 1),
+        "total_congestion_fees": half_up_sql("_congestion", 2),
+        "total_airport_fees": half_up_sql("_airport", 2),
+    }
+    return sums.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 def orphan_zones(fact: DataFrame, zones: DataFrame, key: str = "pu_location_id") -> DataFrame:

@@ -11,32 +11,39 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, round_half_up, safe_ratio
+from ..functions.numeric import exact_sum, exact_sum_sql, half_up_sql, ratio_sql, round_half_up, safe_ratio
 from ..schema import PolicySpec
+from .gold import TIP_SUM, TIP_WEIGHT
 
 # Fixed value: first day counted by the congestion-fee figure.
 FEES_FROM = date(2025, 1, 1)
 
 
+def _expr(sql: str, digits: int = 2) -> Column:
+    return F.expr(half_up_sql(sql, digits))
+
+
 def _tip_pct() -> Column:
-    card = F.col("credit_card_trip_pct") / F.lit(100.0) * F.col("trip_count")
-    weight = F.when(F.col("avg_tip_pct").isNotNull(), card)
-    return round_half_up(safe_ratio(exact_sum(F.col("avg_tip_pct") * card, 6), exact_sum(weight, 6)), 2)
+    return _expr(ratio_sql(TIP_SUM, TIP_WEIGHT))
 
 
 def _revenue() -> Column:
-    return round_half_up(exact_sum("total_revenue"), 2)
+    return _expr(exact_sum_sql("total_revenue"))
+
+
+def _per_trip() -> Column:
+    return _expr(ratio_sql(exact_sum_sql("total_revenue"), "sum(trip_count)"))
 
 
 def _per_mile() -> Column:
-    return round_half_up(safe_ratio(exact_sum("total_revenue"), exact_sum("total_distance_miles")), 2)
+    return _expr(ratio_sql(exact_sum_sql("total_revenue"), exact_sum_sql("total_distance_miles")))
 
 
 def kpis(daily: DataFrame) -> DataFrame:
     return daily.agg(
         _revenue().alias("total_revenue"),
         F.sum("trip_count").alias("trip_count"),
-        round_half_up(safe_ratio(exact_sum("total_revenue"), F.sum("trip_count")), 2).alias("revenue_per_trip"),
+        _per_trip().alias("revenue_per_trip"),
         _tip_pct().alias("avg_tip_pct"),
     )
 
@@ -72,10 +79,9 @@ def revenue_heatmap(hourly: DataFrame) -> DataFrame:
 
 
 def vendor_efficiency(hourly: DataFrame) -> DataFrame:
-    minutes = F.col("avg_trip_duration_minutes") * F.col("trip_count")
+    minutes = exact_sum_sql("avg_trip_duration_minutes * trip_count")
     return hourly.groupBy("vendor_name").agg(
-        round_half_up(safe_ratio(exact_sum("total_revenue"), F.sum("trip_count")), 2).alias("avg_revenue_per_trip"),
-        round_half_up(safe_ratio(exact_sum(minutes), F.sum("trip_count")), 2).alias("avg_trip_duration"),
+        _per_trip().alias("avg_revenue_per_trip"), _expr(ratio_sql(minutes, "sum(trip_count)")).alias("avg_trip_duration")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,9 +89,7 @@ def quality_predicates(rules: TripRules = TripRules()) -> dict[str, Column]:
 
 
 def quality_filter(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
-    for predicate in quality_predicates(rules).values():
-        df = df.filter(predicate)
-    return df
+    return df.filter(reduce(lambda a, b: a & b, quality_predicates(rules).values()))
 
 
 def build_silver(typed: DataFrame, rules: TripRules = TripRules()) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import hour_of
 from ..functions.numeric import exact_sum
@@ -65,8 +66,15 @@ _TRIPS = [
 ]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of a given table; its schema is read from the footer once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
