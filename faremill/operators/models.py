@@ -97,7 +97,7 @@ def _trees(params: Mapping[str, object]) -> Callable[[DataFrame], Estimator]:
     return build
 
 
-# Defaults follow the reference settings where MLlib has the same knob.
+# Defaults of the boosted models.
 BOOSTING = {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 20, "maxBins": 64, "validationTol": 0.0}
 
 
@@ -119,24 +119,20 @@ def boosted_raw(features: Sequence[str] = FEATURES, **overrides) -> ModelSpec:
 def ridge(alpha: float = 1.0, features: Sequence[str] = FEATURES, standardise: bool = True, target: str = TARGET) -> ModelSpec:
     """Least squares with penalty ``alpha * |w|^2`` on (standardised) features, clipped at 0.
 
-    MLlib's penalty is per row and relative to the label's deviation, and it standardises by
-    the sample deviation; the two scalars that convert ``alpha`` come from one aggregate.
+    MLlib's penalty is per row and relative to the label's deviation; the two scalars that
+    convert ``alpha`` come from one aggregate.
     """
 
     def build(rows: DataFrame) -> Estimator:
-        row = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(_LABEL).alias("sd"), F.stddev_samp(_LABEL).alias("sds")).first()
+        row = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(_LABEL).alias("sd")).first()
         return LinearRegression(
             featuresCol=_VECTOR, labelCol=_LABEL, predictionCol=_RAW, elasticNetParam=0.0, solver="normal",
-            standardization=standardise, regParam=_ridge_penalty(alpha, row.n, row.sd or 0.0, standardise),
+            standardization=standardise, regParam=alpha / row.n * (row.sd or 0.0),
         )
 
     return ModelSpec("ridge", build, output_sql="greatest({raw}, 0.0D)", features=tuple(features), target=target, params={"alpha": alpha})
 
 
-def _ridge_penalty(alpha: float, n: int, label_sd: float, standardise: bool) -> float:
-    return alpha / n * label_sd
-
-
 def compare_models(specs: Sequence[ModelSpec], train: DataFrame, val: DataFrame, test: DataFrame) -> list[dict]:
     """Validation and test errors per candidate; one result row per model, not per record."""
     out = []

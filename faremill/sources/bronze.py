@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import DataQualityError
+from ..session import broadcast_if_small
 
 MONTH_PATTERN = "*_{month}.parquet"
 
@@ -62,8 +63,13 @@ def unseen(available: DataFrame, ledger: DataFrame, key: str = "_batch_id") -> D
 
 
 def rows_of_unseen(raw: DataFrame, ledger: DataFrame, key: str = "_batch_id") -> DataFrame:
-    """Rows of load units that were never loaded; running it again adds nothing."""
-    return raw.join(ledger.select(key).distinct(), key, "left_anti")
+    """Rows of load units that were never loaded; running it again adds nothing.
+
+    The ledger's distinct units are few (one per month or file); counted and broadcast, they
+    filter the raw rows in place. An unmarked join would shuffle all rows by load unit.
+    """
+    seen = broadcast_if_small(ledger.select(key).distinct())
+    return raw.join(seen, key, "left_anti")
 
 
 def newer_than_watermark(raw: DataFrame, target: DataFrame, key: str = "_batch_id") -> DataFrame:
