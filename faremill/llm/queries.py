@@ -62,3 +62,42 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_secrets")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents")).drop("found")
+
+
+@query(
+    "op5_mixture",
+    r"""
+WITH sized AS (
+  SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, source, md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':mix')) AS key FROM documents),
+totals AS (SELECT source, sum(size) AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM totals),
+ranked AS (
+  SELECT *, row_number() OVER o AS rank,
+    (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS share
+  FROM weighed
+  WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST),
+    b AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+fixed AS (SELECT *, 3 * source_size < weight * share AS stops FROM ranked),
+aimed AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size,
+    CASE WHEN stops THEN CAST(3 * source_size AS DOUBLE) ELSE weight * (SELECT arg_min(share, rank) FROM fixed WHERE NOT stops) END AS target FROM fixed),
+placed AS (
+  SELECT s.doc_id, s.size, a.source_size, a.target, floor(a.target + 0.5) AS budget,
+    coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source),
+cut AS (SELECT *, CASE WHEN source_size > 0 THEN floor(budget / source_size) ELSE 0 END AS whole FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(whole * size + least(greatest(budget - whole * source_size - start, 0), size) AS BIGINT) AS taken FROM cut
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixture
+
+    return mixture(table(spark, sf_dir, "documents"))
