@@ -127,3 +127,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rules import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
