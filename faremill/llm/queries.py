@@ -141,3 +141,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rules import judge
 
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
+
+
+@query("op6_urls")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
