@@ -148,3 +148,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urlfilter import judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op2_main_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .extraction import extract
+
+    return extract(table(spark, sf_dir, "pages"))
