@@ -22,8 +22,9 @@ from ..session import materialise
 from .arrow_groups import groups
 
 PIVOTS = 16
-PIVOT_SAMPLE = 2048
-STEP = 256
+#: Bound of the sample that pivots and first thresholds come from.
+SAMPLE = 8192
+STEP = 128
 #: Slack for rounding in float64 bounds; scores themselves are exact integers.
 SLACK = 1e-6
 
@@ -56,26 +57,47 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def _merge(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best: highest score, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+def _evaluate(q: np.ndarray, qd: np.ndarray, own: np.ndarray, least: np.ndarray, x: np.ndarray, xd: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, id, score) of each query's k best in a block, among those that reach ``least``.
 
-
-def _search(q: np.ndarray, own: int, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of a block for one query, among those that may reach ``least``."""
-    order = np.argsort(-bound, kind="stable")
-    kept_ids, kept = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for start in range(0, len(order), STEP):
-        some = order[start : start + STEP]
-        if bound[some[0]] < least - SLACK * (1 + abs(least)):
-            break
-        some = some[ids[some] != own]
-        kept_ids, kept = np.concatenate([kept_ids, ids[some]]), np.concatenate([kept, x[some] @ q])
-        best = _merge(kept_ids, kept, k)
-        kept_ids, kept = kept_ids[best], kept[best]
-        if len(kept) == k:
-            least = max(least, float(kept[-1]))
-    return kept_ids, kept
+    Candidates are taken in steps along their distance to the pivot that spreads them most. Steps come in the
+    order of their bounds; a query drops out of every step whose bound is under its threshold, and thresholds
+    rise as scores come in.
+    """
+    least, square_q, square_x = least.copy(), (q.astype(np.float64) ** 2).sum(1), (x.astype(np.float64) ** 2).sum(1)
+    order = np.argsort(xd[:, xd.std(0).argmax()], kind="stable")
+    steps = [order[i : i + STEP] for i in range(0, len(order), STEP)]
+    bounds = np.empty((len(q), len(steps)))
+    for j, s in enumerate(steps):
+        apart = np.maximum(np.maximum(xd[s].min(0) - qd, qd - xd[s].max(0)).max(1), 0)
+        bounds[:, j] = (square_q + square_x[s].max() - apart**2) / 2
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    q_exact, x_exact = _exact(q, x)
+    for j in np.argsort(-bounds.mean(0), kind="stable"):
+        s = steps[j]
+        asked = np.flatnonzero(bounds[:, j] >= least - SLACK * (1 + np.abs(least)))
+        if not len(asked):
+            continue
+        scores = q_exact[asked] @ x_exact[s].T
+        other = ids[s][None] != own[asked][:, None]
+        rows, columns = np.nonzero((scores >= least[asked][:, None]) & other)
+        found.append((asked[rows], ids[s][columns], scores[rows, columns].astype(np.int64)))
+        if len(s) > k:
+            kth = np.partition(np.where(other, scores.astype(np.float64), -np.inf), len(s) - k, axis=1)[:, len(s) - k]
+            least[asked] = np.maximum(least[asked], kth)
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, near, scores = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((near, -scores, at))
+    at, near, scores = at[order], near[order], scores[order]
+    best = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return at[best], near[best], scores[best]
+
+
+def _exact(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as float64 if every product sum is then exact, else as they are."""
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, q.shape[1])
+    return (q.astype(np.float64), x.astype(np.float64)) if most < 2**53 else (q, x)
 
 
 def top_k(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, is_query: Column | None = None, pivots: int = PIVOTS) -> DataFrame:
@@ -99,9 +121,10 @@ def top_k(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: s
     if n == 0:
         return spark.createDataFrame([], schema)
     # A bounded sample by hash; the share is exact enough, and the limit holds it to its bound.
-    sample = whole.where(F.pmod(F.xxhash64("id"), F.lit(n)) < PIVOT_SAMPLE).select("v").distinct().limit(2 * PIVOT_SAMPLE).collect() or whole.select("v").limit(1).collect()
-    rows = np.zeros((len(sample), dims), np.int64)
-    for i, r in enumerate(sorted(sample, key=lambda r: list(r["v"]))):
+    sample = whole.where(F.pmod(F.xxhash64("id"), F.lit(n)) < SAMPLE).select("id", "v").distinct().limit(2 * SAMPLE).collect() or whole.select("id", "v").limit(1).collect()
+    sample = sorted(sample, key=lambda r: (r["id"], list(r["v"])))
+    sample_ids, rows = np.array([r["id"] for r in sample], np.int64), np.zeros((len(sample), dims), np.int64)
+    for i, r in enumerate(sample):
         rows[i, : len(r["v"])] = r["v"]
     table = choose_pivots(rows, pivots)
     # Blocks of about twice the square root of the table: their rings stay far smaller than the table.
@@ -130,29 +153,28 @@ def top_k(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: s
             asked = np.flatnonzero(g["asked"].to_numpy())
             if not len(asked):
                 continue
-            x, ids = _unpack(g["v"], dims), g["id"].to_numpy()
-            d = _unpack(g["d"], len(table))
-            square = (x.astype(np.float64) ** 2).sum(1)
-            targets: list[np.ndarray] = []
-            for q in asked:
-                bound = (square[q] + square - np.abs(d - d[q]).max(1) ** 2) / 2
-                kept_ids, kept = _search(x[q], ids[q], bound, x, ids, k, -np.inf)
-                least = float(kept[-1]) if len(kept) == k else -np.inf
+            x, ids, d = _unpack(g["v"], dims), g["id"].to_numpy(), _unpack(g["d"], len(table))
+            least = np.full(len(asked), -np.inf)
+            if len(sample_ids) > k:
+                # The k-th best of the sample's other rows is reached by the k-th best of all.
+                q, r = _exact(x[asked], rows)
+                scores = np.where(sample_ids[None] != ids[asked][:, None], (q @ r.T).astype(np.float64), -np.inf)
+                least = np.partition(scores, len(sample_ids) - k, axis=1)[:, len(sample_ids) - k]
+            at, near, scores = _evaluate(x[asked], d[asked], ids[asked], least, x, d, ids, k)
+            bounds = np.searchsorted(at, np.arange(len(asked) + 1))
+            for i in np.flatnonzero(np.diff(bounds) == k):
+                least[i] = max(least[i], scores[bounds[i + 1] - 1])
+            square, block = (x[asked].astype(np.float64) ** 2).sum(1), g["block"][0].as_py()
+            targets = []
+            for i, q in enumerate(asked):
                 apart = np.maximum(np.maximum(low - d[q], d[q] - high).max(1), 0)
-                reach = (square[q] + norms - apart**2) / 2
-                targets.append(names[(reach >= least - SLACK * (1 + abs(least))) & (names != g["block"][0].as_py())])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([ids[q]], pa.int64()),
-                        pa.array([list(x[q])], pa.list_(pa.int64())),
-                        pa.array([list(d[q])], pa.list_(pa.float64())),
-                        pa.array([least]),
-                        pa.array([targets[-1].tolist()], pa.list_(pa.int32())),
-                        pa.array([kept_ids.tolist()], pa.list_(pa.int64())),
-                        pa.array([kept.tolist()], pa.list_(pa.int64())),
-                    ],
-                    names=["id", "v", "d", "least", "blocks", "ids", "scores"],
-                )
+                reach = (square[i] + norms - apart**2) / 2
+                targets.append(names[(reach >= least[i] - SLACK * (1 + abs(least[i]))) & (names != block)].tolist())
+            listed = lambda values, kind: pa.array([v.tolist() for v in np.split(values, bounds[1:-1])], pa.list_(kind))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[asked]), pa.array(list(x[asked]), pa.list_(pa.int64())), pa.array(list(d[asked]), pa.list_(pa.float64())), pa.array(least), pa.array(targets, pa.list_(pa.int32())), listed(near, pa.int64()), listed(scores, pa.int64())],
+                names=["id", "v", "d", "least", "blocks", "ids", "scores"],
+            )
 
     dealt = blocked.repartition("block").sortWithinPartitions("block", "id")
     begun = materialise(dealt.mapInArrow(home, "id long, v array<long>, d array<double>, least double, blocks array<int>, ids array<long>, scores array<long>"), "home-blocks")
@@ -166,15 +188,9 @@ def top_k(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: s
             if not visit.any():
                 continue
             v, d, ids = _unpack(g["v"], dims), _unpack(g["d"], len(table)), g["id"].to_numpy()
-            square, least = (v.astype(np.float64) ** 2).sum(1), g["least"].to_numpy()
-            x, xd, xs, xi = v[~visit], d[~visit], square[~visit], ids[~visit]
-            out_q, out_i, out_s = [], [], []
-            for q in np.flatnonzero(visit):
-                bound = (square[q] + xs - np.abs(xd - d[q]).max(1) ** 2) / 2
-                kept_ids, kept = _search(v[q], ids[q], bound, x, xi, k, float(least[q]))
-                keep = kept >= least[q]
-                out_q.append(np.full(keep.sum(), ids[q])), out_i.append(kept_ids[keep]), out_s.append(kept[keep])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (out_q, out_i, out_s)], names=["query_id", "vec_id", "score"])
+            asked = ids[visit]
+            at, near, scores = _evaluate(v[visit], d[visit], asked, g["least"].to_numpy()[visit], v[~visit], d[~visit], ids[~visit], k)
+            yield pa.RecordBatch.from_arrays([pa.array(asked[at]), pa.array(near), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
     found = both.mapInArrow(away, "query_id long, vec_id long, score long")
     near = begun.select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query_id", "x.ids", "x.scores")
