@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 CAPACITY = 4096
-GROUP_WINDOWS = 128
+GROUP_WINDOWS = 256
 END_ID = 2
 BATCH_CHARS = 4_000_000
 
