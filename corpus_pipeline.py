@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm.queries import find_package, table
+from faremill.llm.queries import prepare, table
 from faremill.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,7 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drop documents that the classifier rejects; it learns from the labelled ones of ``docs``."""
     from faremill.llm import quality
 
-    find_package(spark)
+    prepare(spark)
     model = quality.fit(quality.text_features(docs), table(spark, sf_dir, "labels"))
     scored = quality.score(quality.text_features(docs, carry=COLUMNS), model)
     kept = scored.where(F.col("score") >= quality.CUT)
@@ -38,7 +38,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of smallest id of each near-duplicate class, once."""
     from faremill.llm.neardup import near_duplicates
 
-    find_package(spark)
+    prepare(spark)
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
     return _shaped(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
@@ -47,7 +47,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Mask every span that the scan finds, base and battery alike; overlapping spans become one mask."""
     from faremill.llm.secrets import find_secrets
 
-    find_package(spark)
+    prepare(spark)
     found = find_secrets(docs, carry=tuple(c for c in COLUMNS if c != "doc_id"))
     pieces = F.aggregate(
         "found",
@@ -80,7 +80,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pack what is left into token windows: a row a piece."""
     from faremill.llm.packing import pack
 
-    find_package(spark)
+    prepare(spark)
     return pack(docs)
 
 

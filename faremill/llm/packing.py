@@ -25,7 +25,7 @@ from ..session import materialise
 CAPACITY = 4096
 GROUP_WINDOWS = 256
 END_ID = 2
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 def default_vocabulary() -> str:

@@ -13,18 +13,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where it was not installed or shipped with the job."""
+#: Rows an Arrow batch of whole texts holds; the default of 10,000 would be tens of megabytes a batch and task.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators that run Python in tasks.
+
+    Workers can import this package where it was not installed or shipped with the job, and Arrow batches
+    stay small unless the session names a size of its own.
+    """
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def query(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            find_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = name, fn.__doc__

@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE = 600_000
+CACHE = 250_000
 MARK = "\x01"
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Outside these the quick splitter is not used: other scripts, other numerals, control characters.
