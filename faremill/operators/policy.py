@@ -217,7 +217,8 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d or 1e-300)
     value = d
-    for m in range(1, 500):
+    # The number of steps needed grows with the square root of the larger parameter.
+    for m in range(1, 1000 + 10 * math.isqrt(math.ceil(max(a, b)))):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         step = 1.0
@@ -227,8 +228,8 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
             step = c * d
             value *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return front * value
+            return front * value
+    raise ArithmeticError(f"no convergence at a={a}, b={b}, x={x}")
 
 
 def fit_effect(rows: DataFrame, outcome: str, n_zones: int, spec: PolicySpec = PolicySpec()) -> Fit:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,10 @@ class Lake:
     def daily(self) -> str:
         return f"{self.root}/gold/revenue_daily"
 
+    @property
+    def marks(self) -> str:
+        return f"{self.root}/runs/months"
+
     @property
     def forecast(self) -> str:
         return f"{self.root}/ml/demand_forecast"
@@ -112,12 +117,36 @@ def refresh_gold(spark: SparkSession, lake: Lake, zones: DataFrame, months: list
     tables.replace_partitions(gold.with_month(gold.build_daily(written.drop(MONTH)), "pickup_date", MONTH), lake.daily, MONTH)
 
 
+def mark(spark: SparkSession, lake: Lake, months: list[str], state: str) -> None:
+    """Note that the layers of some months are being rebuilt (open) or agree again (done)."""
+    rows = [(time.time_ns(), m, state) for m in months]
+    spark.createDataFrame(rows, "at long, batch string, state string").coalesce(1).write.mode("append").parquet(lake.marks)
+
+
+def unfinished(spark: SparkSession, lake: Lake) -> list[str]:
+    """Months whose last run began and did not get through every gate."""
+    if not tables.exists(spark, lake.marks):
+        return []
+    last = lambda state: F.coalesce(F.max(F.when(F.col("state") == state, F.col("at"))), F.lit(-1))
+    marks = tables.read_table(spark, lake.marks).groupBy("batch").agg(last("open").alias("opened"), last("done").alias("closed"))
+    return [r.batch for r in marks.filter("opened > closed").select("batch").collect()]
+
+
 def run_month(
     spark: SparkSession, lake: Lake, raw: DataFrame, zones: DataFrame, rules: TripRules = TripRules(), mode: str = "missing_batches"
 ) -> list[str]:
-    """One monthly run: land, clean, test silver, build and test gold."""
+    """One monthly run: land, clean, test silver, build and test gold.
+
+    A month is marked open before its first layer changes and done after its last gate, so a run that a gate
+    or a crash stopped in between is taken up by the next one, also when nothing new has landed.
+    """
     land(spark, lake, raw)
-    months = refresh_silver(spark, lake, rules, mode)
+    # The list of open batches is table metadata: one text a month.
+    fresh_months = [r[0] for r in pending(spark, tables.read_table(spark, lake.bronze), lake.silver, "_batch_id", mode).select("_batch_id").distinct().collect()]
+    if fresh_months:
+        mark(spark, lake, fresh_months, "open")
+    written = refresh_silver(spark, lake, rules, mode)
+    months = sorted({*written, *unfinished(spark, lake)})
     if months:
         fresh = tables.read_table(spark, lake.silver).filter(F.col("_batch_id").isin(months))
         quality.require_clean(quality.table_tests(fresh, "silver", "trip_id", quality.SILVER_NOT_NULL))
@@ -128,4 +157,5 @@ def run_month(
         ):
             part = tables.read_table(spark, path).filter(F.col(MONTH).isin(months))
             quality.require_clean(quality.table_tests(part, name, "fct_id", columns))
+        mark(spark, lake, months, "done")
     return months

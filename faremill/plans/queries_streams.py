@@ -57,7 +57,7 @@ def _gold_stream(spark, sf_dir):
     zones = materialise(inputs.zones(spark, sf_dir), "zones")
     redelivered = F.col("_ingested_at") > F.lit("2025-07-01 00:00:00").cast("timestamp_ntz")
     for lot in (~redelivered, redelivered):
-        raw.filter(lot).coalesce(4).write.mode("append").parquet(f"{root}/in")
+        raw.filter(lot).write.mode("append").parquet(f"{root}/in")
         stream = ingest.file_stream(spark, f"{root}/in", raw.schema)
         ingest.apply_available(stream, f"{root}/checkpoint", facts.gold_from_batches(spark, lake, zones))
     return _months(tables.read_table(spark, lake.hourly))

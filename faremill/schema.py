@@ -102,6 +102,20 @@ FEATURES: tuple[str, ...] = (
 )
 TARGET = "trip_count"
 
+# The same columns by family; studies leave out whole families. The borough code is no feature at present.
+FEATURE_FAMILIES: dict[str, frozenset[str]] = {
+    "lag": frozenset(("lag_1h_trip_count", "lag_24h_trip_count", "lag_168h_trip_count")),
+    "fee": frozenset(("lag_168h_congestion_fees",)),
+    "rolling": frozenset(("rolling_24h_avg_trip_count", "rolling_168h_avg_trip_count")),
+    "borough": frozenset(("pickup_borough_enc",)),
+}
+
+
+def without(*families: str) -> tuple[str, ...]:
+    """The features, in order, less those of some families."""
+    out = frozenset().union(*(FEATURE_FAMILIES[f] for f in families))
+    return tuple(c for c in FEATURES if c not in out)
+
 
 @dataclass(frozen=True)
 class PanelSpec:

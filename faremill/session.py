@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,14 +27,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by the cluster.
 
-    A local temporary folder is used only where the cluster names none, which is
-    the case in single-machine tests.
+    Only in local mode, where driver and tasks share one disk, a temporary folder stands in
+    for a missing setting; a cluster that names none is refused, because its executors would
+    write to disks that others don't see.
     """
     sc = spark.sparkContext
     configured = spark.conf.get(_CHECKPOINT_CONF, None) or sc.getConf().get(_CHECKPOINT_CONF, None)
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="faremill-")
         sc.setCheckpointDir(configured)
         configured = sc.getCheckpointDir()

@@ -140,6 +140,37 @@ def test_monthly_runs_in_any_order_equal_one_run(spark, sf_dir):
     assert results[0] == results[1] and results[0][0]
 
 
+def test_a_failed_gate_is_taken_up_by_the_next_run(spark, sf_dir, monkeypatch):
+    from faremill.operators import quality
+
+    raw = materialise(inputs.raw_trips(spark, sf_dir).filter(F.col("_batch_id") < "2024-03"), "raw")
+    zones, lake, whole = materialise(inputs.zones(spark, sf_dir), "zones"), Lake(scratch_path(spark, "lake")), Lake(scratch_path(spark, "lake"))
+
+    def stop(*_):
+        raise DataQualityError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(quality, "require_clean", stop)
+        with pytest.raises(DataQualityError):
+            run_month(spark, lake, raw, zones)
+    assert not tables.exists(spark, lake.hourly)
+    assert run_month(spark, lake, raw, zones) == ["2024-01", "2024-02"] and run_month(spark, lake, raw, zones) == []
+    run_month(spark, whole, raw, zones)
+    for own, other in ((lake.hourly, whole.hourly), (lake.daily, whole.daily)):
+        assert sorted(map(str, tables.read_table(spark, own).collect())) == sorted(map(str, tables.read_table(spark, other).collect()))
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from faremill.session import scratch_root
+
+    none = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: none, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(SimpleNamespace(conf=none, sparkContext=context))
+
+
 def test_watermark_mode_skips_a_late_batch(spark, sf_dir):
     raw = materialise(inputs.raw_trips(spark, sf_dir).filter(F.col("_batch_id") < "2024-03"), "raw")
     zones, lake = inputs.zones(spark, sf_dir), Lake(scratch_path(spark, "lake"))
