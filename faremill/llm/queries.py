@@ -165,3 +165,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .extraction import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op7_licenses")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
