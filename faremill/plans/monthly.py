@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,99 +64,132 @@ class Lake:
         return f"{self.root}/ml/registry"
 
 
+#: A load unit: the file, within the batch its rows belong to.
+UNIT = ["_batch_id", "_source_file"]
+
+
+def _landed(spark: SparkSession, lake: Lake, raw: DataFrame) -> DataFrame:
+    return tables.read_table(spark, lake.bronze) if tables.exists(spark, lake.bronze) else raw.limit(0)
+
+
 def land(spark: SparkSession, lake: Lake, raw: DataFrame) -> DataFrame:
-    """Append batches that were never loaded; returns the reconciliation per batch."""
-    known = tables.exists(spark, lake.bronze)
-    have = tables.read_table(spark, lake.bronze) if known else raw.limit(0)
-    before = materialise(have.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("rows_before")), "ledger")
-    fresh = bronze.rows_of_unseen(raw, before)
-    fresh.write.mode("append").partitionBy("_batch_id").parquet(lake.bronze)
-    after = tables.read_table(spark, lake.bronze).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("rows_after"))
-    both = before.join(after, "_batch_id", "full_outer").na.fill(0)
-    loaded = F.greatest(F.col("rows_after") - F.col("rows_before"), F.lit(0))
-    return both.withColumn("rows_loaded", loaded)
-
-
-def pending(spark: SparkSession, source: DataFrame, target: str, key: str, mode: str) -> DataFrame:
-    """Source rows the target has not processed.
-
-    ``missing_batches`` also picks up a batch that arrived late; ``watermark`` takes only
-    batches beyond the newest one.
+    """Append files that were never loaded; returns rows and files per batch before and after.
+
+    The ledger is bronze itself, by batch and file name: a second file of a loaded month lands, a file that
+    was loaded does not. The months of new files are marked open first, so no crash can leave landed rows
+    that no later run looks at. A row without a batch stops the load before anything is committed.
     """
-    if not tables.exists(spark, target):
-        return source
-    done = tables.read_table(spark, target)
+    before = materialise(bronze.file_ledger(_landed(spark, lake, raw)), "ledger")
+    fresh = bronze.rows_of_unseen(raw, before, UNIT)
+    batch = F.coalesce("_batch_id", F.raise_error(F.lit("a raw row has no _batch_id")).cast("string"))
+    months = tables.touched_values(fresh.withColumn("_batch_id", batch), "_batch_id")
+    if months:
+        mark(spark, lake, months, "open")
+        fresh.write.mode("append").partitionBy("_batch_id").parquet(lake.bronze)
+    return bronze.reconcile_files(before, bronze.file_ledger(_landed(spark, lake, raw)))
+
+
+def pending(spark: SparkSession, lake: Lake, mode: str = "missing_batches") -> list[str]:
+    """Landed months that did not get through every gate since their newest file came.
+
+    ``missing_batches`` also picks up a month that arrived late; ``watermark`` takes only months beyond
+    the newest finished one. Months are table metadata: one short text each.
+    """
+    if not tables.exists(spark, lake.bronze):
+        return []
+    landed = tables.touched_values(tables.read_table(spark, lake.bronze), "_batch_id")
+    todo = set(landed) - set(finished(spark, lake))
     if mode == "watermark":
-        return bronze.newer_than_watermark(source, done, key)
+        newest = max(ever_finished(spark, lake), default="")
+        return sorted(m for m in todo if m > newest)
     if mode == "missing_batches":
-        # The list of open batches is table metadata; as literals it prunes partitions, so the
-        # batches that are done are not read again.
-        todo = [r[0] for r in bronze.unseen(source, done, key).collect()]
-        return source.filter(F.col(key).isin(todo))
+        return sorted(todo)
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def refresh_silver(spark: SparkSession, lake: Lake, rules: TripRules = TripRules(), mode: str = "missing_batches") -> list[str]:
-    """Clean pending batches and merge them by trip id. Returns the months written."""
-    source = pending(spark, tables.read_table(spark, lake.bronze), lake.silver, "_batch_id", mode)
-    rows = silver.build_silver(silver.typed_from_columns(source, rules), rules)
-    return tables.upsert(spark, lake.silver, rows, ["trip_id"], "_batch_id")
+def refresh_silver(spark: SparkSession, lake: Lake, months: list[str], rules: TripRules = TripRules()) -> None:
+    """Clean whole months from all their files, test the result, then publish it.
+
+    Copies of a trip are compared within their batch, so the result does not depend on which months a run
+    takes together. A month whose rows are all rejected by now is emptied.
+    """
+    if not months:
+        return
+    source = tables.read_table(spark, lake.bronze).filter(F.col("_batch_id").isin(months))
+    own = replace(rules, dedup_keys=("_batch_id", *rules.dedup_keys))
+    rows = materialise(silver.build_silver(silver.typed_from_columns(source, own), own), "silver", "_batch_id")
+    quality.require_clean(quality.table_tests(rows, "silver", "trip_id", quality.SILVER_NOT_NULL))
+    tables.replace_listed(spark, rows, lake.silver, "_batch_id", months)
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, zones: DataFrame, months: list[str], rules: TripRules = TripRules()) -> None:
-    """Rebuild both facts for whole months.
+    """Rebuild both facts for whole months; each is tested before it is published.
 
-    A pickup month is one partition in every layer, so a late batch rebuilds exactly its
-    month; replacing the partitions equals a merge by key over complete months.
+    A pickup month is one partition in every layer, so replacing the partitions equals a merge by key over
+    complete months.
     """
     if not months:
         return
     trips = tables.read_table(spark, lake.silver).filter(F.col("_batch_id").isin(months))
-    hourly = gold.with_month(gold.build_hourly(trips, zones, rules), "pickup_hour", MONTH)
-    tables.replace_partitions(hourly, lake.hourly, MONTH)
-    written = tables.read_table(spark, lake.hourly).filter(F.col(MONTH).isin(months))
-    tables.replace_partitions(gold.with_month(gold.build_daily(written.drop(MONTH)), "pickup_date", MONTH), lake.daily, MONTH)
+    hourly = materialise(gold.with_month(gold.build_hourly(trips, zones, rules), "pickup_hour", MONTH), "hourly", MONTH)
+    quality.require_clean(quality.table_tests(hourly, "hourly", "fct_id", quality.HOURLY_NOT_NULL))
+    daily = materialise(gold.with_month(gold.build_daily(hourly.drop(MONTH)), "pickup_date", MONTH), "daily", MONTH)
+    quality.require_clean(quality.table_tests(daily, "daily", "fct_id", quality.DAILY_NOT_NULL))
+    tables.replace_listed(spark, hourly, lake.hourly, MONTH, months)
+    tables.replace_listed(spark, daily, lake.daily, MONTH, months)
 
 
 def mark(spark: SparkSession, lake: Lake, months: list[str], state: str) -> None:
     """Note that the layers of some months are being rebuilt (open) or agree again (done)."""
     rows = [(time.time_ns(), m, state) for m in months]
+    if not rows:
+        return
     spark.createDataFrame(rows, "at long, batch string, state string").coalesce(1).write.mode("append").parquet(lake.marks)
 
 
-def unfinished(spark: SparkSession, lake: Lake) -> list[str]:
-    """Months whose last run began and did not get through every gate."""
+def _marks(spark: SparkSession, lake: Lake) -> DataFrame | None:
     if not tables.exists(spark, lake.marks):
-        return []
+        return None
     last = lambda state: F.coalesce(F.max(F.when(F.col("state") == state, F.col("at"))), F.lit(-1))
-    marks = tables.read_table(spark, lake.marks).groupBy("batch").agg(last("open").alias("opened"), last("done").alias("closed"))
-    return [r.batch for r in marks.filter("opened > closed").select("batch").collect()]
+    return tables.read_table(spark, lake.marks).groupBy("batch").agg(last("open").alias("opened"), last("done").alias("closed"))
+
+
+def finished(spark: SparkSession, lake: Lake) -> list[str]:
+    """Months that passed every gate after they were last opened."""
+    marks = _marks(spark, lake)
+    return [] if marks is None else [r.batch for r in marks.filter("closed > opened").select("batch").collect()]
+
+
+def ever_finished(spark: SparkSession, lake: Lake) -> list[str]:
+    """Months that passed every gate at least once."""
+    marks = _marks(spark, lake)
+    return [] if marks is None else [r.batch for r in marks.filter("closed >= 0").select("batch").collect()]
 
 
 def run_month(
-    spark: SparkSession, lake: Lake, raw: DataFrame, zones: DataFrame, rules: TripRules = TripRules(), mode: str = "missing_batches"
+    spark: SparkSession,
+    lake: Lake,
+    raw: DataFrame,
+    zones: DataFrame,
+    rules: TripRules = TripRules(),
+    mode: str = "missing_batches",
+    expected: Sequence[str] = (),
 ) -> list[str]:
-    """One monthly run: land, clean, test silver, build and test gold.
+    """One monthly run: land, check the load, then clean, test and publish layer by layer.
 
-    A month is marked open before its first layer changes and done after its last gate, so a run that a gate
-    or a crash stopped in between is taken up by the next one, also when nothing new has landed.
+    ``expected`` names the months the run was started for; the run stops when one of them brought no row and
+    held none. A month is marked open before its first layer changes and done after its last gate, so a run
+    that a gate or a crash stopped in between is taken up by the next one, also when nothing new has landed.
+    Returns the months published.
     """
-    land(spark, lake, raw)
-    # The list of open batches is table metadata: one text a month.
-    fresh_months = [r[0] for r in pending(spark, tables.read_table(spark, lake.bronze), lake.silver, "_batch_id", mode).select("_batch_id").distinct().collect()]
-    if fresh_months:
-        mark(spark, lake, fresh_months, "open")
-    written = refresh_silver(spark, lake, rules, mode)
-    months = sorted({*written, *unfinished(spark, lake)})
+    loaded = land(spark, lake, raw)
+    if expected:
+        loaded = materialise(loaded, "loaded")
+        for month in expected:
+            bronze.require_load(loaded, month)
+    months = pending(spark, lake, mode)
     if months:
-        fresh = tables.read_table(spark, lake.silver).filter(F.col("_batch_id").isin(months))
-        quality.require_clean(quality.table_tests(fresh, "silver", "trip_id", quality.SILVER_NOT_NULL))
+        refresh_silver(spark, lake, months, rules)
         refresh_gold(spark, lake, zones, months, rules)
-        for path, name, columns in (
-            (lake.hourly, "hourly", quality.HOURLY_NOT_NULL),
-            (lake.daily, "daily", quality.DAILY_NOT_NULL),
-        ):
-            part = tables.read_table(spark, path).filter(F.col(MONTH).isin(months))
-            quality.require_clean(quality.table_tests(part, name, "fct_id", columns))
         mark(spark, lake, months, "done")
     return months

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_sum, round_half_up
+from ..operators.quality import DataQualityError
 from ..session import materialise, scratch_path
 from ..sources import tables
 from ..streaming import facts, ingest
@@ -75,6 +76,49 @@ def _incremental(spark, sf_dir):
     return _months(tables.read_table(spark, lake.hourly))
 
 
+@register("redelivered_file", _MONTHS)
+def _redelivered(spark, sf_dir):
+    """A second file of months that are already loaded lands and rebuilds them; a third run finds nothing new."""
+    lake = Lake(scratch_path(spark, "lake"))
+    second = F.col("_ingested_at") > F.lit("2025-07-01 00:00:00").cast("timestamp_ntz")
+    name = F.when(second, F.concat(F.lit("again_"), "_source_file")).otherwise(F.col("_source_file"))
+    raw = materialise(inputs.raw_trips(spark, sf_dir).withColumn("_source_file", name), "raw")
+    zones = materialise(inputs.zones(spark, sf_dir), "zones")
+    for lot in (~second, F.lit(True), F.lit(True)):
+        run_month(spark, lake, raw.filter(lot), zones)
+    return _months(tables.read_table(spark, lake.hourly))
+
+
+@register("emptied_month", f"SELECT * FROM ({_MONTHS}) WHERE pickup_month <> '2024-03'")
+def _emptied(spark, sf_dir):
+    """A later file takes back every trip of one month: all layers lose the month."""
+    lake = Lake(scratch_path(spark, "lake"))
+    raw = materialise(inputs.raw_trips(spark, sf_dir), "raw")
+    zones = materialise(inputs.zones(spark, sf_dir), "zones")
+    back = raw.filter("_batch_id = '2024-03'").withColumns({
+        "fare_amount": F.lit(-1.0), "_source_file": F.lit("back.parquet"), "_ingested_at": F.expr("_ingested_at + INTERVAL 9 DAY")})
+    run_month(spark, lake, raw, zones)
+    run_month(spark, lake, raw.unionByName(back), zones)
+    return _months(tables.read_table(spark, lake.hourly))
+
+
+@register("rerun_after_failed_gate", _MONTHS)
+def _rerun(spark, sf_dir):
+    """Doubled zones break the key of the hourly fact: nothing is published, and the next run makes it good."""
+    lake = Lake(scratch_path(spark, "lake"))
+    raw = materialise(inputs.raw_trips(spark, sf_dir), "raw")
+    zones = materialise(inputs.zones(spark, sf_dir), "zones")
+    try:
+        run_month(spark, lake, raw, zones.unionByName(zones))
+    except DataQualityError:
+        if tables.exists(spark, lake.hourly):
+            raise
+    else:
+        raise RuntimeError("the gate let doubled keys pass")
+    run_month(spark, lake, raw, zones)
+    return _months(tables.read_table(spark, lake.hourly))
+
+
 @register("stream_hourly_counts", (
     "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, CAST(user_id % 25 AS BIGINT) AS key, count(*) AS n FROM events"
     " WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY 1, 2"))

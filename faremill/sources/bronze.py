@@ -57,19 +57,27 @@ def rows_per_file(df: DataFrame, file: str = "_source_file") -> DataFrame:
     return df.groupBy(file).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def file_ledger(rows: DataFrame) -> DataFrame:
+    """Rows landed per batch and file: what a load has to be compared with."""
+    return rows.groupBy("_batch_id", "_source_file").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def unseen(available: DataFrame, ledger: DataFrame, key: str = "_batch_id") -> DataFrame:
     """Load units (files or batches) the ledger does not hold yet, old or new."""
     return available.select(key).distinct().join(ledger.select(key).distinct(), key, "left_anti")
 
 
-def rows_of_unseen(raw: DataFrame, ledger: DataFrame, key: str = "_batch_id") -> DataFrame:
+def rows_of_unseen(raw: DataFrame, ledger: DataFrame, key: str | Sequence[str] = "_batch_id") -> DataFrame:
     """Rows of load units that were never loaded; running it again adds nothing.
 
     The ledger's distinct units are few (one per month or file); counted and broadcast, they
-    filter the raw rows in place. An unmarked join would shuffle all rows by load unit.
+    filter the raw rows in place. An unmarked join would shuffle all rows by load unit. NULL
+    is a unit like any other, so rows without a file name are not loaded twice either.
     """
-    seen = broadcast_if_small(ledger.select(key).distinct())
-    return raw.join(seen, key, "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    seen = broadcast_if_small(ledger.select(*[F.col(k).alias(f"_seen{i}") for i, k in enumerate(keys)]).distinct())
+    same = [F.col(k).eqNullSafe(F.col(f"_seen{i}")) for i, k in enumerate(keys)]
+    return raw.join(seen, same, "left_anti")
 
 
 def newer_than_watermark(raw: DataFrame, target: DataFrame, key: str = "_batch_id") -> DataFrame:
@@ -82,19 +90,29 @@ def newer_than_watermark(raw: DataFrame, target: DataFrame, key: str = "_batch_i
     return raw.filter(F.col(key) > F.coalesce(mark.scalar(), F.lit("")))
 
 
+def _loaded(n_before: DataFrame, n_after: DataFrame, key: str, counts: Sequence[str]) -> DataFrame:
+    names = [f"{c}_{when}" for c in counts for when in ("before", "after")]
+    both = n_before.join(n_after, key, "full_outer").na.fill(0, names)
+    for c in counts:
+        both = both.withColumn(f"{c}_loaded", F.greatest(F.col(f"{c}_after") - F.col(f"{c}_before"), F.lit(0)))
+    already = (F.col("rows_loaded") == 0) & (F.col("rows_before") > 0)
+    return both.select(key, *[f"{c}_{when}" for c in counts for when in ("before", "after", "loaded")], already.alias("already_loaded"))
+
+
 def reconcile(before: DataFrame, after: DataFrame, key: str = "_batch_id") -> DataFrame:
     """Rows before and after a load per batch, and what the load added."""
     n_before = before.groupBy(key).agg(F.count(F.lit(1)).alias("rows_before"))
     n_after = after.groupBy(key).agg(F.count(F.lit(1)).alias("rows_after"))
-    both = n_before.join(n_after, key, "full_outer").na.fill(0, ["rows_before", "rows_after"])
-    loaded = F.greatest(F.col("rows_after") - F.col("rows_before"), F.lit(0))
-    return both.select(
-        key,
-        "rows_before",
-        "rows_after",
-        loaded.alias("rows_loaded"),
-        ((loaded == 0) & (F.col("rows_before") > 0)).alias("already_loaded"),
-    )
+    return _loaded(n_before, n_after, key, ["rows"])
+
+
+def reconcile_files(before: DataFrame, after: DataFrame, key: str = "_batch_id") -> DataFrame:
+    """Rows and files before and after a load per batch, from two file ledgers."""
+
+    def per_batch(ledger: DataFrame, when: str) -> DataFrame:
+        return ledger.groupBy(key).agg(F.sum("row_count").alias(f"rows_{when}"), F.count(F.lit(1)).alias(f"files_{when}"))
+
+    return _loaded(per_batch(before, "before"), per_batch(after, "after"), key, ["rows", "files"])
 
 
 def require_load(reconciled: DataFrame, batch: str, error_rows: int = 0, key: str = "_batch_id") -> None:

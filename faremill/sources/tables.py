@@ -112,6 +112,21 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     )
 
 
+def replace_listed(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values: Sequence[str]) -> None:
+    """Make the listed partitions hold exactly the rows of ``df``.
+
+    A listed partition that ``df`` has no row of is emptied; a dynamic overwrite alone would leave its old
+    rows. ``df`` is read twice, so it should be a written table.
+    """
+    left = touched_values(df, partition_by)
+    old = touched_values(read_table(spark, path).filter(F.col(partition_by).isin(list(values))), partition_by) if exists(spark, path) else []
+    if left or not exists(spark, path):
+        replace_partitions(df, path, partition_by)
+    for value in old:
+        if value not in left:
+            _empty_partition(spark, path, partition_by, value)
+
+
 def touched_values(df: DataFrame, partition_by: str) -> list[str]:
     """Distinct partition values of a change set: table metadata, not data."""
     return sorted(r[0] for r in df.select(partition_by).distinct().collect())
@@ -120,8 +135,8 @@ def touched_values(df: DataFrame, partition_by: str) -> list[str]:
 def delete_where(spark: SparkSession, path: str, predicate: Column, partition_by: str) -> None:
     """Delete matching rows; a missing table is left alone.
 
-    Only partitions holding a match are rewritten. A partition whose rows all match
-    gets an empty rewrite through its surviving neighbours, so it is dropped by name.
+    Only partitions holding a match are rewritten. A partition whose rows all match has
+    nothing to write, so it is emptied by name.
     """
     if not exists(spark, path):
         return
@@ -139,14 +154,13 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, partition_by
         kept = current.filter(F.col(partition_by).isin(rewrite) & ~hit)
         replace_partitions(kept, path, partition_by)
     for value in empty:
-        _drop_partition(spark, path, partition_by, value)
+        _empty_partition(spark, path, partition_by, value)
 
 
-def _drop_partition(spark: SparkSession, path: str, partition_by: str, value) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_by}={value}")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+def _empty_partition(spark: SparkSession, path: str, partition_by: str, value: str) -> None:
+    """Overwrite one partition by a file without rows: readers see it gone, the table keeps its columns."""
+    columns = T.StructType([f for f in read_table(spark, path).schema.fields if f.name != partition_by])
+    spark.createDataFrame([], columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
 
 
 def merged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

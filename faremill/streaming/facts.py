@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import silver
-from ..plans.monthly import Lake, refresh_gold
+from ..plans.monthly import Lake, refresh_gold, refresh_silver
 from ..schema import TripRules
 from ..sources import tables
 
@@ -34,10 +33,7 @@ def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules:
         )
         raw = tables.read_table(session, lake.bronze)
         touched = tables.touched_values(raw.filter(F.col("_load") == load), "_batch_id")
-        if not touched:
-            return
-        typed = silver.typed_from_columns(raw.filter(F.col("_batch_id").isin(touched)), rules)
-        tables.replace_partitions(silver.build_silver(typed, rules), lake.silver, "_batch_id")
+        refresh_silver(session, lake, touched, rules)
         refresh_gold(session, lake, zones, touched, rules)
 
     return step

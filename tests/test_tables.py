@@ -160,6 +160,45 @@ def test_a_failed_gate_is_taken_up_by_the_next_run(spark, sf_dir, monkeypatch):
         assert sorted(map(str, tables.read_table(spark, own).collect())) == sorted(map(str, tables.read_table(spark, other).collect()))
 
 
+def test_a_second_file_lands_and_an_emptied_month_goes(spark, sf_dir):
+    raw = materialise(inputs.raw_trips(spark, sf_dir).filter(F.col("_batch_id") < "2024-03"), "raw")
+    zones, lake = materialise(inputs.zones(spark, sf_dir), "zones"), Lake(scratch_path(spark, "lake"))
+    first = raw.filter("_ingested_at = TIMESTAMP_NTZ '2025-07-01 00:00:00'")
+    more = raw.exceptAll(first).withColumn("_source_file", F.lit("more.parquet"))
+    assert run_month(spark, lake, first, zones, expected=["2024-01"]) == ["2024-01", "2024-02"]
+    n = tables.read_table(spark, lake.bronze).count()
+    assert more.count() and run_month(spark, lake, first.unionByName(more), zones) == [r[0] for r in more.select("_batch_id").distinct().orderBy("_batch_id").collect()]
+    assert tables.read_table(spark, lake.bronze).count() == n + more.count()
+    whole = Lake(scratch_path(spark, "lake"))
+    run_month(spark, whole, first.unionByName(more), zones)
+    for own, other in ((lake.silver, whole.silver), (lake.hourly, whole.hourly), (lake.daily, whole.daily)):
+        assert sorted(map(str, tables.read_table(spark, own).collect())) == sorted(map(str, tables.read_table(spark, other).collect()))
+    back = first.filter("_batch_id = '2024-02'").withColumns(
+        {"fare_amount": F.lit(-1.0), "_source_file": F.lit("back.parquet"), "_ingested_at": F.expr("_ingested_at + INTERVAL 9 DAY")})
+    assert run_month(spark, lake, back, zones) == ["2024-02"] and run_month(spark, lake, back, zones) == []
+    for path, column in ((lake.silver, "_batch_id"), (lake.hourly, "pickup_month"), (lake.daily, "pickup_month")):
+        assert tables.touched_values(tables.read_table(spark, path), column) == ["2024-01"]
+
+
+def test_a_load_without_rows_or_batches_stops(spark, sf_dir):
+    raw = materialise(inputs.raw_trips(spark, sf_dir).filter(F.col("_batch_id") == "2024-01"), "raw")
+    zones, lake = materialise(inputs.zones(spark, sf_dir), "zones"), Lake(scratch_path(spark, "lake"))
+    assert run_month(spark, lake, raw.limit(0), zones) == []
+    with pytest.raises(Exception, match="_batch_id"):
+        run_month(spark, lake, raw.withColumn("_batch_id", F.lit(None).cast("string")), zones)
+    with pytest.raises(DataQualityError, match="2024-02"):
+        run_month(spark, lake, raw, zones, expected=["2024-01", "2024-02"])
+    assert run_month(spark, lake, raw, zones, expected=["2024-01"]) == ["2024-01"]
+
+
+def test_file_reconciliation(spark):
+    schema = "_batch_id string, _source_file string"
+    rows = [("a", "f1"), ("a", "f1"), ("a", "f2"), ("b", "f3")]
+    before, after = (bronze.file_ledger(spark.createDataFrame(r, schema)) for r in (rows[:2], rows))
+    got = {r._batch_id: (r.rows_loaded, r.files_loaded, r.files_after, r.already_loaded) for r in bronze.reconcile_files(before, after).collect()}
+    assert got == {"a": (1, 1, 2, False), "b": (1, 1, 1, False)}
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     from types import SimpleNamespace
 
