@@ -19,6 +19,8 @@ def configure(spark: SparkSession) -> SparkSession:
     limits stay as the cluster configured them.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # A sum or cast beyond its type must stop the job, not wrap or turn into NULL.
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     # Month partitions are text; '2024-01' must not be read back as a date or number.
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return spark

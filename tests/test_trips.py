@@ -177,3 +177,13 @@ def test_row_is_what_the_adapter_promises(spark, sf_dir):
     assert catalog.silver_of(spark, sf_dir).count() == 4544
     assert isinstance(inputs.zones(spark, sf_dir).first(), Row)
     assert catalog.daily_of(spark, sf_dir).agg(F.min("pickup_date")).first()[0] >= date(2024, 1, 1)
+
+
+def test_exact_sums_hold_beyond_a_bigint_of_units(spark):
+    from faremill.functions.numeric import exact_sum
+
+    rows = spark.createDataFrame([(9.0e12,), (9.0e12,), (9.0e12,), (0.25,), (-0.5,), (None,)], "v double")
+    assert rows.agg(exact_sum("v", 6).alias("s"), exact_sum(F.col("v"), 6).alias("t")).first()[:] == (27e12 - 0.25, 27e12 - 0.25)
+    signs = spark.createDataFrame([(-1.5,), (-2.25,), (1e-4,)], "v double")
+    assert signs.agg(exact_sum("v").alias("s")).first().s == -3.7499
+    assert signs.filter("v > 9").agg(exact_sum("v").alias("s")).first().s is None
