@@ -125,8 +125,8 @@ def chart_rows(df: DataFrame, order: Sequence[str], n: int = CHART_ROWS) -> Data
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows without replacement, the same ones whatever the partitioning."""
-    order = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    """``n`` rows without replacement, the same ones whatever the partitioning: the first by MD5 of seed and keys."""
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     return df.orderBy(order, *keys).limit(n)
 
 

@@ -17,8 +17,6 @@ from .windows import CHUNK, OWN, POSITION, own_rows, range_chunks, row_chunks, s
 LAGS = (1, 24, 168)
 ROLLING = (24, 168)
 WEEK_HOURS = 168
-# A series longer than this is cut into chunks instead of being sorted by one task.
-MAX_SERIES_ROWS = 100_000
 
 
 def demand_panel(hourly: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
@@ -116,21 +114,20 @@ def build_feature_matrix(
     lookback_hours: int = WEEK_HOURS,
     spec: PanelSpec = PanelSpec(),
     lag_unit: str = "rows",
-    max_series_rows: int = MAX_SERIES_ROWS,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Feature matrix for ``start``..``end`` (both included), look-back rows dropped.
 
     (key, hour) is unique in the panel, so one series has at most as many rows as the
-    requested range has hours. Only when that bound exceeds ``max_series_rows`` are the
-    series cut into chunks.
+    requested range has hours, whatever the number of trips. ``rows_per_chunk`` (hours, for
+    clock-hour lags) spreads each series over several tasks where there are few keys.
     """
     first = datetime.combine(start, datetime.min.time()) - timedelta(hours=lookback_hours)
     first_hour = F.lit(first.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     in_range = (F.col(spec.time) >= first_hour) & (F.col(spec.time) < ntz_literal(next_day(end)))
     panel = demand_panel(hourly.filter(in_range), spec)
-    bound = (end - start).days * 24 + 24 + lookback_hours
-    chunk = max_series_rows if bound > max_series_rows else None
-    lagged = row_lag_features(panel, spec, chunk) if lag_unit == "rows" else hour_lag_features(panel, spec, chunk)
+    lag = row_lag_features if lag_unit == "rows" else hour_lag_features
+    lagged = lag(panel, spec, rows_per_chunk)
     out = calendar_features(lagged, spec)
     if spec.group:
         out = out.withColumn(f"{spec.group}_enc", borough_code(spec.group))

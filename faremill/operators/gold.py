@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.calendar import HOUR_TEXT_FORMAT, hour_of, minutes_between, month_text
 from ..functions.numeric import exact_sum_sql, half_up_sql, ratio_sql
 from ..schema import TripRules
-from ..session import broadcast_if_small
 
 
 def revenue_trips(silver: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
@@ -19,8 +18,8 @@ def revenue_trips(silver: DataFrame, rules: TripRules = TripRules()) -> DataFram
 def with_zone_labels(df: DataFrame, zones: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     """Left join to the zone dimension, ``Unknown`` where a zone id has no row.
 
-    The dimension is broadcast when a count shows that it is small, so that fact rows are
-    not shuffled by zone and a busy zone does not become one large task.
+    The fact rows are hourly sums by then. Spark broadcasts a dimension below its byte threshold;
+    a larger one is shuffled, and adaptive execution splits a busy zone.
     """
     labels = zones.select(
         F.col("LocationID").alias("_zone_key"),
@@ -28,7 +27,7 @@ def with_zone_labels(df: DataFrame, zones: DataFrame, rules: TripRules = TripRul
         F.col("Zone").alias("pickup_zone"),
         "service_zone",
     )
-    joined = df.join(broadcast_if_small(labels), F.col("pu_location_id") == F.col("_zone_key"), "left").drop("_zone_key")
+    joined = df.join(labels, F.col("pu_location_id") == F.col("_zone_key"), "left").drop("_zone_key")
     missing = F.lit(rules.missing_label)
     return joined.withColumns(
         {c: F.coalesce(F.col(c), missing) for c in ("pickup_borough", "pickup_zone", "service_zone")}

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -24,7 +24,7 @@ from ..schema import FEATURES, TARGET
 from .evaluation import error_metrics, naive_week_lag
 
 SEED = 42
-_LABEL, _RAW, _VECTOR, _IS_VAL = "_label", "_raw_prediction", "_features", "_is_validation"
+_LABEL, _RAW, _VECTOR = "_label", "_raw_prediction", "_features"
 # Fixed value: rows of the importance report.
 TOP_FEATURES = 20
 
@@ -39,26 +39,41 @@ class ModelSpec:
     output_sql: str = "{raw}"
     features: tuple[str, ...] = FEATURES
     target: str = TARGET
-    uses_validation: bool = False
+    patience: int | None = None
     params: Mapping[str, object] = field(default_factory=dict)
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> FittedModel:
-        rows = train.withColumn(_IS_VAL, F.lit(False))
-        if self.uses_validation and val is not None:
-            rows = rows.unionByName(val.withColumn(_IS_VAL, F.lit(True)))
-        rows = rows.withColumn(_LABEL, F.expr(self.label_sql.format(target=self.target)))
-        # Only the columns a fit needs are shuffled and cached by the learner.
-        rows = rows.select(*self.features, _LABEL, _IS_VAL)
+        """Fit on ``train``; with a patience and validation rows, keep the trees up to the best round."""
+        assembler = VectorAssembler(inputCols=list(self.features), outputCol=_VECTOR)
+
+        def rows_of(df: DataFrame) -> DataFrame:
+            # Only the columns a fit needs are shuffled and cached by the learner.
+            return df.select(*self.features, F.expr(self.label_sql.format(target=self.target)).alias(_LABEL))
+
+        rows = rows_of(train)
+        learner = self.estimator(rows)
+        ready = assembler.transform(rows)
+        model = learner.fit(ready)
+        if self.patience and val is not None and not val.isEmpty():
+            errors = model.evaluateEachIteration(assembler.transform(rows_of(val)), "squared")
+            best = best_round(errors, self.patience)
+            if best < len(errors):
+                # The same seed grows the same trees again: a shorter fit is a prefix of the long one.
+                model = learner.copy({learner.maxIter: best}).fit(ready)
         out = self.output_sql.format(raw=_RAW)
-        hidden = f"SELECT *, {out} AS prediction FROM __THIS__"
-        pipeline = Pipeline(
-            stages=[
-                VectorAssembler(inputCols=list(self.features), outputCol=_VECTOR),
-                self.estimator(rows),
-                SQLTransformer(statement=hidden),
-            ]
-        )
-        return FittedModel(self.model_type, pipeline.fit(rows), self.features, self.target)
+        shown = SQLTransformer(statement=f"SELECT *, {out} AS prediction FROM __THIS__")
+        return FittedModel(self.model_type, PipelineModel([assembler, model, shown]), self.features, self.target)
+
+
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the smallest validation error, looking no further than ``patience`` rounds past it."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 @dataclass(frozen=True)
@@ -90,15 +105,15 @@ def load_model(path: str, model_type: str = "saved") -> FittedModel:
 
 def _trees(params: Mapping[str, object]) -> Callable[[DataFrame], Estimator]:
     def build(_: DataFrame) -> Estimator:
-        return GBTRegressor(
-            featuresCol=_VECTOR, labelCol=_LABEL, predictionCol=_RAW, validationIndicatorCol=_IS_VAL, seed=SEED, **params
-        )
+        return GBTRegressor(featuresCol=_VECTOR, labelCol=_LABEL, predictionCol=_RAW, seed=SEED, **params)
 
     return build
 
 
 # Defaults of the boosted models.
-BOOSTING = {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 20, "maxBins": 64, "validationTol": 0.0}
+BOOSTING = {"maxIter": 120, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 20, "maxBins": 64}
+# Fixed value: rounds without a better validation error before a fit counts as finished.
+PATIENCE = 50
 
 
 def boosted_log(features: Sequence[str] = FEATURES, **overrides) -> ModelSpec:
@@ -106,14 +121,14 @@ def boosted_log(features: Sequence[str] = FEATURES, **overrides) -> ModelSpec:
     params = BOOSTING | overrides
     return ModelSpec(
         "boosted_log", _trees(params), "log1p(CAST({target} AS DOUBLE))", "greatest(expm1({raw}), 0.0D)",
-        tuple(features), uses_validation=True, params=params,
+        tuple(features), patience=PATIENCE, params=params,
     )
 
 
 def boosted_raw(features: Sequence[str] = FEATURES, **overrides) -> ModelSpec:
     """Boosted trees on the plain target; the output is not clipped."""
     params = BOOSTING | overrides
-    return ModelSpec("boosted_raw", _trees(params), features=tuple(features), uses_validation=True, params=params)
+    return ModelSpec("boosted_raw", _trees(params), features=tuple(features), patience=PATIENCE, params=params)
 
 
 def ridge(alpha: float = 1.0, features: Sequence[str] = FEATURES, standardise: bool = True, target: str = TARGET) -> ModelSpec:

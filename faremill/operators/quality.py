@@ -56,7 +56,24 @@ def unique_failures(df: DataFrame, table: str, key: str) -> DataFrame:
 
 
 def table_tests(df: DataFrame, table: str, key: str, columns: Sequence[str]) -> DataFrame:
-    return not_null_failures(df, table, columns).unionByName(unique_failures(df, table, key))
+    """Both kinds of tests in one pass over ``df``.
+
+    Grouping by the key finds repeated keys; the groups carry partial NULL counts, which a second
+    aggregate adds up. Rows without a key are one group that partial aggregation keeps small.
+    """
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in columns]
+    )
+    wide = per_key.agg(
+        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_repeated"),
+        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in columns],
+    )
+    results = [(c, "not_null", f"_null_{c}") for c in columns] + [(key, "unique", "_repeated")]
+    rows = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"), F.col(n).alias("failures"))
+        for c, kind, n in results
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def require_clean(tests: DataFrame) -> None:

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import hour_of
 from ..functions.numeric import exact_sum
-from ..session import spread_small_scan
 
 _LINE_COLUMNS = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -82,7 +81,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The second delivery is an ``explode`` of the first, so the table is scanned once.
     """
-    lines = spread_small_scan(table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS), "l_orderkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS)
     base = lines.selectExpr(*_BASE).selectExpr(*_TRIPS)
     deliveries = F.when(F.col("DOLocationID") == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = base.withColumn("_delivery", F.explode(deliveries))

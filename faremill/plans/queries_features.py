@@ -97,7 +97,7 @@ def _matrix(spark, sf_dir):
 @register("feature_matrix_chunked", oracle.sql(f"SELECT {_printed()} FROM matrix", "matrix"))
 def _matrix_chunked(spark, sf_dir):
     """The same matrix with every series cut into chunks of 300 rows."""
-    return matrix_of(spark, sf_dir, max_series_rows=300)
+    return matrix_of(spark, sf_dir, rows_per_chunk=300)
 
 
 @register("scoring_month_features", oracle.sql(f"SELECT {_printed()} FROM month_matrix", "month_matrix"))
@@ -268,10 +268,14 @@ def _chart(spark, sf_dir):
     return evaluation.chart_rows(evaluation.residuals(evaluation.naive_week_lag(test_of(spark, sf_dir)), KEYS), KEYS)
 
 
-@register("sampled_rows")
+@register("sampled_rows", oracle.sql(
+    "SELECT CAST(pu_location_id AS BIGINT) AS pu_location_id, " + TS.format("pickup_hour") + ", "
+    + ", ".join(c for c in FEATURES if c not in KEYS)
+    + " FROM test_rows t ORDER BY md5('42|' || t.pu_location_id || '|' || strftime(t.pickup_hour, '%Y-%m-%d %H:%M:%S')),"
+    " t.pu_location_id, t.pickup_hour LIMIT 100", "test_rows"))
 def _sample(spark, sf_dir):
-    """2000 test rows without replacement, the same for any partitioning."""
-    return evaluation.sample_rows(test_of(spark, sf_dir), KEYS, 2000).select(*KEYS, *[c for c in FEATURES if c not in KEYS])
+    """100 test rows without replacement, the same for any partitioning."""
+    return evaluation.sample_rows(test_of(spark, sf_dir), KEYS, 100).select(*KEYS, *[c for c in FEATURES if c not in KEYS])
 
 
 _BASE_ROWS = " UNION ALL ".join(

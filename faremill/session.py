@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -65,30 +64,3 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# Largest dimension sent to every executor, in rows (a few hundred bytes each).
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast after counting that it is small.
-
-    The count stops at ``max_rows + 1``. A larger dimension is returned unmarked and joins
-    by shuffle, where adaptive execution splits skewed keys. Size estimates alone are not
-    enough: for a dimension that is itself a join they multiply the inputs.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when a scan has fewer splits than the cluster has cores.
-
-    A small file with one row group is one task, and every projection up to the first
-    shuffle would run on one core. A scan that already has enough splits is returned as
-    it is, so large inputs never pay for this shuffle.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted, *keys)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import DataQualityError
-from ..session import broadcast_if_small
+from ..session import materialise
 
 MONTH_PATTERN = "*_{month}.parquet"
 
@@ -70,12 +70,13 @@ def unseen(available: DataFrame, ledger: DataFrame, key: str = "_batch_id") -> D
 def rows_of_unseen(raw: DataFrame, ledger: DataFrame, key: str | Sequence[str] = "_batch_id") -> DataFrame:
     """Rows of load units that were never loaded; running it again adds nothing.
 
-    The ledger's distinct units are few (one per month or file); counted and broadcast, they
-    filter the raw rows in place. An unmarked join would shuffle all rows by load unit. NULL
-    is a unit like any other, so rows without a file name are not loaded twice either.
+    The ledger's distinct units (one per month or file) are written to the scratch folder, so that
+    the join knows their size in bytes: below Spark's broadcast threshold they filter the raw rows
+    in place, beyond it the rows are shuffled by load unit. NULL is a unit like any other, so rows
+    without a file name are not loaded twice either.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    seen = broadcast_if_small(ledger.select(*[F.col(k).alias(f"_seen{i}") for i, k in enumerate(keys)]).distinct())
+    seen = materialise(ledger.select(*[F.col(k).alias(f"_seen{i}") for i, k in enumerate(keys)]).distinct(), "ledger")
     same = [F.col(k).eqNullSafe(F.col(f"_seen{i}")) for i, k in enumerate(keys)]
     return raw.join(seen, same, "left_anti")
 

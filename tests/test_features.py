@@ -80,7 +80,7 @@ def test_features_never_read_the_present_or_future(spark):
 def test_long_range_switches_to_chunks(spark):
     hourly = panel(spark, {1: [(h, 1) for h in range(400)]}).withColumn("total_congestion_fees", F.lit(0.0)).withColumn("pickup_borough", F.lit("Queens"))
     a = features.build_feature_matrix(hourly, date(2024, 1, 1), date(2024, 1, 20))
-    b = features.build_feature_matrix(hourly, date(2024, 1, 1), date(2024, 1, 20), max_series_rows=200)
+    b = features.build_feature_matrix(hourly, date(2024, 1, 1), date(2024, 1, 20), rows_per_chunk=200)
     assert "_chunk" not in a._jdf.queryExecution().analyzed().toString()
     assert "_chunk" in b._jdf.queryExecution().analyzed().toString()
     assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))

@@ -163,13 +163,17 @@ def test_plans_broadcast_the_dimension_and_limit_copies_before_the_shuffle(spark
     assert "l_shipdate" not in pruned and "l_linestatus" not in pruned
 
 
-def test_zone_join_shuffles_beyond_the_row_limit(spark):
-    from faremill.session import broadcast_if_small
-
-    small = broadcast_if_small(spark.range(10), 10)
-    large = broadcast_if_small(spark.range(11), 10)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+def test_plans_do_not_depend_on_size_and_start_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    shapes = []
+    for sf in ("0.001", "0.1"):
+        plan = catalog.hourly_of(spark, f"/root/testdata/sf{sf}")._jdf.queryExecution().optimizedPlan().toString()
+        shapes.append([line.split("[")[0].split("(")[0].strip(" +-:").split(" ")[0] for line in plan.splitlines()])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert shapes[0] == shapes[1]
+    # Reading a footer for the schema is the only job a plan may start.
+    assert len(tracker.getJobIdsForGroup("plan-only")) <= 6
 
 
 def test_row_is_what_the_adapter_promises(spark, sf_dir):
