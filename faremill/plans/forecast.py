@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict
 from datetime import date
 
@@ -18,6 +19,7 @@ from ..session import materialise
 from ..sources import tables
 
 MODEL_NAME = "demand_forecast_hourly"
+_BASELINE = "position int, feature string, mean double, std double"
 
 
 def training_matrix(hourly: DataFrame, run_date: date, cache: str | None = None) -> DataFrame:
@@ -63,6 +65,37 @@ def train(
     return {"version": version, "beats_baseline": baseline - test.mape > 0, "splits": asdict(s)} | metrics
 
 
+def walk_forward_errors(matrix: DataFrame, run_date: date, spec: models.ModelSpec) -> list[dict]:
+    """Test error of a refit on every complete fold; a row per fold."""
+    members = materialise(splits.walk_forward(matrix, run_date), "folds", partition_by="fold")
+    out = []
+    for (fold,) in sorted(evaluation.complete_folds(members).collect()):
+        part = {s: members.filter((F.col("fold") == fold) & (F.col("split") == s)) for s in ("train", "val", "test")}
+        model = spec.fit(part["train"], part["val"])
+        out.append({"fold": int(fold), "mape": evaluation.error_metrics(model.predict(part["test"])).first().mape})
+    return out
+
+
+def promote(hourly: DataFrame, run_date: date, registry: ModelRegistry, trained: dict, spec: models.ModelSpec, cache: str | None = None) -> dict:
+    """Decide on a version that ``train`` registered; only a promoted one becomes production.
+
+    Gates: fold errors vary little, the test error beats the best known one and the naive baseline.
+    Without a complete fold the deviation is unknown, and the version is held.
+    """
+    errors = [r["mape"] for r in walk_forward_errors(training_matrix(hourly, run_date, cache), run_date, spec)]
+    mean = sum(errors) / len(errors) if errors else math.nan
+    std = math.sqrt(sum((e - mean) ** 2 for e in errors) / len(errors)) if errors else math.nan
+    gates = evaluation.promotion(std, trained["test_mape"], trained["baseline_mape"])
+    if gates.decision == "PROMOTE":
+        registry.set_alias(MODEL_NAME, "production", trained["version"])
+    production = registry.aliases().filter((F.col("model_name") == MODEL_NAME) & (F.col("alias") == "production")).first()
+    return {
+        "version": trained["version"], "cv_mape_mean": mean, "cv_mape_std": std, "test_mape": trained["test_mape"],
+        "baseline_mape": trained["baseline_mape"], **asdict(gates), "decision": gates.decision,
+        "production_version": production.version if production else None,
+    }
+
+
 def month_rows(hourly: DataFrame, run_date: date, lookback_hours: int) -> DataFrame:
     """Complete feature rows of the run's month.
 
@@ -116,13 +149,18 @@ def monitor(
     monitoring_path: str,
     lookback_hours: int = features.WEEK_HOURS,
 ) -> DataFrame:
-    """Compare the run's forecast with demand and replace its monitoring row."""
+    """Compare the run's forecast with demand and replace its monitoring row.
+
+    A version without a saved baseline is monitored without drift: no feature counts as drifted.
+    """
     info = registry.resolve(MODEL_NAME, "production")
     first, last = splits.scoring_window(run_date)
     predictions = tables.read_table(spark, forecast_path)
     accuracy = monitoring.forecast_accuracy(predictions, hourly, run_date, first, last)
     current = month_rows(hourly, run_date, lookback_hours)
-    drift = monitoring.feature_drift(current, spark.read.parquet(f"{info.path}-baseline"), FEATURES)
+    saved = f"{info.path}-baseline"
+    baseline = spark.read.schema(_BASELINE).parquet(saved) if tables.exists(spark, saved) else spark.createDataFrame([], _BASELINE)
+    drift = monitoring.feature_drift(current, baseline, FEATURES)
     nan = float("nan")
     row = monitoring.monitoring_row(
         materialise(accuracy, "accuracy"), drift, run_date, first.strftime("%Y-%m"), str(info.version), info.run_id,

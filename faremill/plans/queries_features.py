@@ -381,9 +381,9 @@ def _rank_average(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- monitoring and anomalies
-def _forecast(spark, sf_dir):
+def _forecast(hourly):
     first, last = splits.scoring_window(RUN_DATE)
-    rows = features.complete_rows(features.build_feature_matrix(hourly_of(spark, sf_dir), first, last, lookback_hours=24 * 60))
+    rows = features.complete_rows(features.build_feature_matrix(hourly, first, last, lookback_hours=24 * 60))
     shifted = F.expr("CAST(pickup_hour + make_dt_interval(0, pu_location_id % 2) AS TIMESTAMP_NTZ)")
     return rows.select(
         shifted.alias("pickup_hour"), "pu_location_id", F.col("lag_168h_trip_count").alias("predicted_trip_count"), F.lit(RUN_DATE).alias("_run_date"))
@@ -408,7 +408,8 @@ block(
 def _accuracy(spark, sf_dir):
     """A forecast of which half the zones are an hour off, so some rows have no actual."""
     first, last = splits.scoring_window(RUN_DATE)
-    out = monitoring.forecast_accuracy(_forecast(spark, sf_dir), hourly_of(spark, sf_dir), RUN_DATE, first, last)
+    hourly = materialise(hourly_of(spark, sf_dir), "hourly")
+    out = monitoring.forecast_accuracy(_forecast(hourly), hourly, RUN_DATE, first, last)
     return rounded(out, ["mae", "rmse", "mape"])
 
 

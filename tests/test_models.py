@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faremill.operators import ensembles, evaluation, models, policy
+from faremill.operators import ensembles, evaluation, models, monitoring, policy
 from faremill.operators.registry import ModelRegistry
+from faremill.plans import forecast
 from faremill.schema import PolicySpec
 from faremill.session import scratch_path
 
@@ -199,3 +200,22 @@ def test_run_date_is_exclusive(spark):
     assert rows.agg(F.max("pickup_date")).first()[0] == date(2024, 11, 2)
     with pytest.raises(ValueError):
         policy.impact_table(daily_rows(spark, lambda z, d, t: 1), date(2024, 1, 1))
+
+
+def test_best_round_waits_for_the_patience():
+    assert models.best_round([5.0, 4.0, 4.5, 4.4, 3.0], 3) == 5
+    assert models.best_round([5.0, 4.0, 4.5, 4.4, 4.3, 3.0], 3) == 2
+    assert models.best_round([2.0], 50) == 1
+
+
+def test_early_stop_keeps_a_prefix_of_the_trees(table):
+    spec = models.boosted_log(NAMES, maxIter=12, maxDepth=2, minInstancesPerNode=5)
+    whole, cut = spec.fit(table).pipeline.stages[1], spec.fit(table, table.filter("trip_count > 0").limit(5)).pipeline.stages[1]
+    n = cut.getNumTrees
+    assert 1 <= n <= 12
+    assert [x.toDebugString.split("\n", 1)[1] for x in cut.trees] == [x.toDebugString.split("\n", 1)[1] for x in whole.trees[:n]]
+
+
+def test_monitoring_goes_on_without_a_baseline(spark):
+    drift = monitoring.drift_summary(monitoring.feature_drift(spark.range(3).selectExpr("id AS a"), spark.createDataFrame([], forecast._BASELINE), ["a"]))
+    assert drift.first()[:] == ("", 0)
