@@ -336,3 +336,14 @@ def test_extraction(spark):
     assert got[10] == got[11] == "" and got[13] == menu and got[14] == own[0]
     assert got[12] == "Head & tail\n\nOne bold two three\n\nfour – five\n\na\n\nb"
     assert extract(frame.limit(0)).count() == 0
+
+
+def test_extraction_of_articles_by_host(spark):
+    """What a host repeats goes from its articles too; whole copies and short blocks of them stay."""
+    notice = "Reprinted with kind permission of the paper whose readers made all of this work possible"
+    own = [" ".join(f"story{i} word{i}x{k}" for k in range(9)) for i in range(4)]
+    pages = [(i, f"http://a.com/{i}", f"<article><h2>Summary</h2><p>{o}</p><p>{notice}</p></article>") for i, o in enumerate(own)]
+    pages += [(4, "http://a.com/4", pages[0][2]), (5, "http://b.com", f"<article><p>{own[0]}</p><p>{notice}</p></article>")]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == [f"Summary\n\n{o}" for o in own] and got[4] == got[0]
+    assert got[5] == f"{own[0]}\n\n{notice}"
