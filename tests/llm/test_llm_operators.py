@@ -347,3 +347,15 @@ def test_extraction_of_articles_by_host(spark):
     got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert [got[i] for i in range(4)] == [f"Summary\n\n{o}" for o in own] and got[4] == got[0]
     assert got[5] == f"{own[0]}\n\n{notice}"
+
+
+def test_extraction_weighs_regions(spark):
+    """A teaser, a nested main part or an article beside the text doesn't stand for the page."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    htmls = [
+        f"<div class=content><p>{a}</p></div><article class=card><p>{b[:40]}</p></article>", f"<article><p>{b}</p><div role=main><p>nested</p></div></article>",
+        f"<div><p>{c}</p></div><article class=card><p>card</p></article>",
+    ]
+    frame = spark.createDataFrame([(i, f"http://{i}.org", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract(frame).collect()}
+    assert got == {0: f"{a}\n\n{b[:40]}", 1: f"{b}\n\nnested", 2: f"{c}\n\ncard"}
