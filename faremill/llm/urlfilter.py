@@ -14,6 +14,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 #: (verdict, host, path) of the fixed rules; a rule fits its host and all subdomains and paths that start with its own.
 RULES = (
     ("allow", "com", "/"),
@@ -26,8 +28,6 @@ SUPPORT = 0.002
 CONFIDENCE = 0.9
 #: Bound of the labelled URLs that are mined; beyond it they are chosen by hash.
 MOST_LABELLED = 100_000
-#: Bound of the model: the surest rules are kept.
-MOST_RULES = 500
 DEFAULT = "allow"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,7 +63,8 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> list[tuple[frozenset[str], str, float, float]]:
     """(tokens, verdict, confidence, support) of the mined rules; ``labelled`` has tokens and verdict.
 
-    At most ``MOST_RULES`` rules reach the driver: they are the model.
+    Of all rules that pass, those go of which a part implies the same verdict at least as surely; the others are
+    the model, and only they reach the driver.
     """
     count = labelled.count()
     if not count:
@@ -74,13 +75,21 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("verdict="), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.size("consequent") == 1).where(F.col("consequent")[0].startswith("verdict="))
-    best = found.orderBy(F.col("confidence").desc(), F.col("support").desc(), F.size("antecedent"), F.array_sort("antecedent")).limit(MOST_RULES).collect()
-    kept: list[tuple[frozenset[str], str, float, float]] = []
-    for r in sorted(best, key=lambda r: (len(r["antecedent"]), -r["confidence"], sorted(r["antecedent"]))):
-        own, verdict = frozenset(r["antecedent"]), r["consequent"][0].removeprefix("verdict=")
-        if not any(k[0] <= own and k[1] == verdict and k[2] >= r["confidence"] for k in kept):
-            kept.append((own, verdict, float(r["confidence"]), float(r["support"])))
-    return kept
+    verdict = F.regexp_replace(F.col("consequent")[0], "^verdict=", "")
+    found = materialise(found.select(F.array_sort("antecedent").alias("own"), verdict.alias("verdict"), "confidence", "support"), "url-rules")
+    kept = found.join(_redundant(found), ["own", "verdict"], "left_anti").collect()
+    rules = [(frozenset(r["own"]), r["verdict"], float(r["confidence"]), float(r["support"])) for r in kept]
+    return sorted(rules, key=lambda r: (len(r[0]), -r[2], sorted(r[0]), r[1]))
+
+
+def _redundant(found: DataFrame) -> DataFrame:
+    """(own, verdict) of rules with a smaller part that implies the verdict as surely; parts are met by their rarest token."""
+    tokens = found.select("own", "verdict", "confidence", F.explode("own").alias("token"))
+    uses = tokens.groupBy("token").agg(F.count("*").alias("uses"))
+    parts = tokens.join(uses, "token").groupBy("own", "verdict", "confidence").agg(F.min_by("token", F.struct("uses", "token")).alias("token"))
+    parts = parts.select("token", "verdict", F.col("own").alias("part"), F.col("confidence").alias("sure"))
+    pairs = tokens.join(parts, ["token", "verdict"]).where((F.size("part") < F.size("own")) & (F.col("sure") >= F.col("confidence")))
+    return pairs.where(F.size(F.array_except("part", "own")) == 0).select("own", "verdict").distinct()
 
 
 def mined_verdict(tokens: Column, rules: list[tuple[frozenset[str], str, float, float]], default: str = DEFAULT) -> Column:

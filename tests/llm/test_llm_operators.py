@@ -359,3 +359,11 @@ def test_extraction_weighs_regions(spark):
     frame = spark.createDataFrame([(i, f"http://{i}.org", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in extract(frame).collect()}
     assert got == {0: f"{a}\n\n{b[:40]}", 1: f"{b}\n\nnested", 2: f"{c}\n\ncard"}
+
+
+def test_mined_rules_are_not_crowded_out(spark):
+    """However many supersets of common tokens there are, a rule of lesser support stays."""
+    common = [f"p:{c}" for c in "abcdefghij"]
+    rows = [(f"u{i}", common, "allow") for i in range(300)] + [(f"v{i}", ["q:bad", "p:z"], "block") for i in range(20)]
+    found = urlfilter.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string"))
+    assert {(r[0], r[1]) for r in found} == {(frozenset([t]), "allow") for t in common} | {(frozenset([t]), "block") for t in ("q:bad", "p:z")}
