@@ -1,13 +1,19 @@
 """License scans with DataFrame operations only.
 
-Lines that speak of licences are compared with short templates by the cosine of sparse TF-IDF vectors. A file
-that is mostly such a line, or is named like a licence file, licenses its directory; files without a licence
-of their own take that of their nearest ancestor directory, by joins on paths.
+Templates are notices, SPDX tags and the whole texts in ``license_texts``, these in overlapping windows of
+``BODY`` words. A text is read in windows over all its words: each length of a short template at every word, and
+``BODY`` words at every half window. Windows and templates are compared by the cosine of sparse TF-IDF vectors;
+frequencies are counted over the corpus and the templates (words of no template count as unseen). Only windows
+without the first word of a notice, or without a telling word of a whole text (by Cauchy-Schwarz they can't reach
+``LEAST``) and words enough of it, are passed over. A file that
+is mostly licence, or is named like a licence file, licenses its directory; files without a licence of their own
+take that of their nearest ancestor directory, by joins on paths.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections import Counter
 
@@ -16,18 +22,30 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-#: Licence names and the words of their usual notices.
-TEMPLATES = {
-    "MIT": "released under the MIT license",
-    "Apache-2.0": "licensed under the Apache License, Version 2.0",
-    "GPL-3.0": "this work is licensed under the GNU General Public License, version 3",
-    "LGPL-3.0": "licensed under the GNU Lesser General Public License, version 3",
-    "BSD-3-Clause": "distributed under the BSD 3-clause license",
-    "MPL-2.0": "subject to the terms of the Mozilla Public License, version 2.0",
-    "CC-BY-4.0": "licensed under CC BY 4.0 creative commons attribution",
-    "CC-BY-NC-4.0": "licensed under CC BY-NC 4.0",
-}
-HINT = r"(?i)licen[sc]e|copying|spdx"
+#: Fixed values: (licence, words that a window must hold, notice or tag).
+NOTICES = (
+    ("MIT", "mit", "released under the MIT license"),
+    ("MIT", "mit", "SPDX-License-Identifier: MIT"),
+    ("Apache-2.0", "apache", "licensed under the Apache License, Version 2.0"),
+    ("Apache-2.0", "apache license", "Apache License"),
+    ("Apache-2.0", "apache", "SPDX-License-Identifier: Apache-2.0"),
+    ("GPL-3.0", "gnu general 3", "this work is licensed under the GNU General Public License, version 3"),
+    ("GPL-3.0", "gpl 3", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-3.0", "gnu lesser 3", "licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "lgpl 3", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("BSD-3-Clause", "bsd 3", "distributed under the BSD 3-clause license"),
+    ("BSD-3-Clause", "bsd 3", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("MPL-2.0", "mozilla 2", "subject to the terms of the Mozilla Public License, version 2.0"),
+    ("MPL-2.0", "mpl 2", "SPDX-License-Identifier: MPL-2.0"),
+    ("CC-BY-4.0", "cc by 4", "licensed under CC BY 4.0"),
+    ("CC-BY-4.0", "creative commons attribution 4", "licensed under Creative Commons Attribution 4.0 International"),
+    ("CC-BY-4.0", "cc by 4", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "cc by nc 4", "licensed under CC BY-NC 4.0"),
+    ("CC-BY-NC-4.0", "cc by nc 4", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+)
+TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+#: Words of a window of whole licence texts.
+BODY = 24
 FILE_NAME = r"(?i)(^|/)(licen[sc]e|copying)[^/]*$"
 LEAST = 0.6
 TOKEN = "[a-z0-9]+"
@@ -37,56 +55,98 @@ def _words(text: str) -> list[str]:
     return re.findall(TOKEN, text.lower())
 
 
-def _weights() -> tuple[dict[str, list[float]], dict[str, float], float]:
-    """Per token its weight in each unit template vector; the tokens' inverse frequencies; that of others."""
-    bags = [Counter(_words(t)) for t in TEMPLATES.values()]
-    common = Counter(w for b in bags for w in b)
-    rarity = {w: math.log((1 + len(bags)) / (1 + n)) + 1 for w, n in common.items()}
-    norms = [math.sqrt(sum((c * rarity[w]) ** 2 for w, c in b.items())) for b in bags]
-    return {w: [b[w] * rarity[w] / n for b, n in zip(bags, norms, strict=True)] for w in rarity}, rarity, math.log(1 + len(bags)) + 1
-
-
-def _line_match(line: Column) -> Column:
-    """Struct (cosine, license) of a line's closest template."""
-    vectors, rarity, other = _weights()
-    token_map = F.create_map(*[x for w in sorted(rarity) for x in (F.lit(w), F.struct(F.lit(rarity[w]).alias("rarity"), F.lit(vectors[w]).alias("weights")))])
-    nothing = F.struct(F.lit(other).alias("rarity"), F.lit([0.0] * len(TEMPLATES)).alias("weights"))
-    tokens = F.regexp_extract_all(F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(TOKEN), F.lit(0))
-
-    def score(t: Column) -> Column:
-        entries = F.transform(F.array_distinct(t), lambda w: F.struct(F.size(F.filter(t, lambda x: x == w)).alias("n"), F.coalesce(F.element_at(token_map, w), nothing).alias("e")))
-        start = F.struct(F.lit(0.0).alias("square"), F.lit([0.0] * len(TEMPLATES)).alias("dots"))
-        sums = F.aggregate(
-            entries,
-            start,
-            lambda a, x: F.struct(
-                (a["square"] + F.pow(x["n"] * x["e"]["rarity"], F.lit(2.0))).alias("square"),
-                F.zip_with(a["dots"], x["e"]["weights"], lambda d, w: d + w * x["n"] * x["e"]["rarity"]).alias("dots"),
-            ),
-            lambda a: F.transform(a["dots"], lambda d: F.when(a["square"] > 0, F.round(d / F.sqrt(a["square"]), 6)).otherwise(0.0)),
-        )
-        return F.array_max(F.zip_with(sums, F.lit(list(TEMPLATES)), lambda c, n: F.struct(c.alias("cosine"), n.alias("license"))))
-
-    return F.transform(F.array(tokens), score)[0]
+def _templates() -> list[tuple[str, list[str], list[str]]]:
+    """(licence, needed words, words) of all notices, tags and windows of whole texts."""
+    out = [(name, needs.split(), _words(text)) for name, needs, text in NOTICES]
+    for file in sorted(os.listdir(TEXTS)):
+        with open(os.path.join(TEXTS, file), encoding="utf-8") as f:
+            words = _words(f.read())
+        out += [(file.removesuffix(".txt"), [], words[i : i + BODY]) for i in range(0, max(1, len(words) - BODY // 2), BODY // 2)]
+    return out
+
+
+def _rarity(tokens: DataFrame, templates: list[tuple[str, list[str], list[str]]]) -> tuple[dict[str, float], float]:
+    """Inverse frequency of the templates' words over corpus and templates, and that of an unseen word."""
+    common = Counter(w for _, _, t in templates for w in set(t))
+    count = tokens.count() + len(templates)
+    known = F.array_intersect("tokens", F.lit(sorted(common)))
+    for r in tokens.select(F.explode(known).alias("w")).groupBy("w").count().collect():
+        common[r["w"]] += r["count"]
+    return {w: math.log((1 + count) / (1 + n)) + 1 for w, n in common.items()}, math.log(1 + count) + 1
+
+
+def _vectors(templates: list[tuple[str, list[str], list[str]]], rarity: dict[str, float], least: float) -> tuple[list[dict[str, float]], set[str]]:
+    """Unit vectors of the templates, and telling words: without one, no window reaches ``least``."""
+    vectors, telling = [], set()
+    for _, _, words in templates:
+        v = {w: c * rarity[w] for w, c in Counter(words).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        vectors.append({w: x / norm for w, x in v.items()})
+        rest = 0.0
+        for w, x in sorted(vectors[-1].items(), key=lambda e: (rarity[e[0]], e[0])):
+            rest += x * x
+            if rest >= least * least:
+                telling.add(w)
+    return vectors, telling
+
+
+def _scores(units: DataFrame, templates: list[tuple[str, list[str], list[str]]], vectors: list[dict[str, float]], rarity: dict[str, float], unseen: float) -> DataFrame:
+    """(row, at, size, cosine, license) of each window's closest template."""
+    spark = units.sparkSession
+    postings: dict[str, list[tuple[int, float]]] = {}
+    for i, v in enumerate(vectors):
+        for w, x in v.items():
+            postings.setdefault(w, []).append((i, x))
+    words = spark.createDataFrame([(w, rarity[w], p) for w, p in sorted(postings.items())], "token string, rarity double, postings array<struct<t:int,x:double>>")
+    names = spark.createDataFrame([(i, name, needs) for i, (name, needs, _) in enumerate(templates)], "t int, license string, needs array<string>")
+    counted = units.select("row", "at", "words", F.explode(F.array_distinct("words")).alias("token"))
+    counted = counted.withColumn("n", F.size(F.filter("words", lambda x: x == F.col("token")))).join(F.broadcast(words), "token", "left")
+    counted = counted.withColumn("weight", F.col("n") * F.coalesce("rarity", F.lit(unseen)))
+    square = counted.groupBy("row", "at", "words").agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
+    dots = counted.select("row", "at", "words", "weight", F.explode("postings").alias("p")).groupBy("row", "at", "words", "p.t").agg(F.sum(F.col("weight") * F.col("p.x")).alias("dot"), F.count("*").alias("shared"))
+    # A few numbers are no part of a whole text.
+    fits = F.when(F.size("needs") > 0, F.size(F.array_except("needs", "words")) == 0).otherwise((F.size("words") >= BODY // 2) & (F.col("shared") >= BODY // 4))
+    found = dots.join(F.broadcast(names), "t").where(fits).join(square, ["row", "at", "words"])
+    cosine = F.round(F.col("dot") / F.sqrt("square"), 6).alias("cosine")
+    return found.groupBy("row", "at", F.size("words").alias("size")).agg(F.max(F.struct(cosine, "license")).alias("m")).select("row", "at", "size", "m.cosine", "m.license")
 
 
 def scan_licenses(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None, least: float = LEAST) -> DataFrame:
-    """Per row: id, path, license, origin (own, inherited or null), cosine of its own best line.
+    """Per row: id, path, license, origin (own, inherited or null), cosine of its own best window.
 
-    Every line of the whole text is looked at. A null text has no licence of its own; ties between templates go to
+    Every word of the whole text is looked at. A null text has no licence of its own; ties between templates go to
     the later name. Repeated rows are judged each. If a directory has several licence files, the surest wins. A null
     path counts as a file of the root. An empty table gives an empty result.
     """
     where = F.coalesce(path if path is not None else F.concat_ws("/", F.col("source"), F.col(id_col).cast("string")), F.lit(""))
-    lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.rlike(x, F.lit(HINT)))
-    rows = files.select(
-        F.col(id_col).alias("id"), where.alias("path"), F.length(text_col).alias("long"), F.transform(lines, lambda x: F.struct(_line_match(x).alias("match"), F.length(x).alias("size"))).alias("lines")
-    )
-    best = F.array_max(F.transform("lines", lambda x: F.struct(x["match"]["cosine"].alias("cosine"), x["match"]["license"].alias("license"))))
-    rows = rows.withColumn("best", best).withColumn("own", F.when(F.col("best.cosine") >= least, F.col("best.license")))
-    whole = F.aggregate("lines", F.lit(0), lambda a, x: a + x["size"]) * 2 >= F.col("long")
-    rows = rows.withColumn("is_file", F.coalesce(F.col("own").isNotNull() & (whole | F.rlike("path", F.lit(FILE_NAME))), F.lit(False)))
-    rows = rows.select("id", "path", F.regexp_replace("path", "/?[^/]*$", "").alias("dir"), "own", F.col("best.cosine").alias("cosine"), "is_file")
+    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tokens = F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
+    templates = _templates()
+    rarity, unseen = _rarity(files.select(tokens.alias("tokens")), templates)
+    vectors, telling = _vectors(templates, rarity, least)
+    sizes = sorted({len(t) for _, needs, t in templates if needs})
+    # A notice needs its first word, a window of a whole text BODY // 4 words besides a telling one.
+    first, telling, known = F.lit(sorted({needs[0] for _, needs, _ in templates if needs})), F.lit(sorted(telling)), F.lit(sorted(rarity))
+    body = lambda w: F.arrays_overlap(w, telling) & (F.size(F.array_intersect(w, known)) >= BODY // 4)
+    notice = lambda w: F.arrays_overlap(w, first)
+
+    def windows(size: int, step: int) -> Column:
+        last = F.greatest(F.size("tokens") - size, F.lit(0)) if step == 1 else F.greatest(F.size("tokens") - 1 - size // 2, F.lit(0))
+        every = F.transform(F.sequence(F.lit(0), last, F.lit(step)), lambda i: F.struct(i.alias("at"), F.slice("tokens", i + 1, F.lit(size)).alias("words")))
+        return F.filter(every, lambda u: (notice if step == 1 else body)(u["words"]))
+
+    nothing = F.array().cast("array<struct<at:int,words:array<string>>>")
+    short = [F.when(notice(F.col("tokens")), windows(n, 1)).otherwise(nothing) for n in sizes]
+    units = F.flatten(F.array(*short, F.when(body(F.col("tokens")), windows(BODY, BODY // 2)).otherwise(nothing)))
+    rows = files.select(F.col(id_col).alias("id"), where.alias("path"), tokens.alias("tokens"))
+    rows = rows.withColumn("units", units).withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows.select("row", "id", "path", F.size("tokens").alias("long"), "units"), "license-windows")
+    scores = _scores(rows.select("row", F.explode("units").alias("u")).select("row", "u.at", "u.words"), templates, vectors, rarity, unseen)
+    hit = F.when(F.col("cosine") >= least, F.sequence(F.col("at"), F.col("at") + F.col("size") - 1))
+    best = scores.groupBy("row").agg(F.max(F.struct("cosine", "license")).alias("best"), F.size(F.array_distinct(F.flatten(F.collect_list(hit)))).alias("covered"))
+    rows = rows.drop("units").join(best, "row", "left").withColumn("own", F.when(F.col("best.cosine") >= least, F.col("best.license")))
+    is_file = F.col("own").isNotNull() & ((2 * F.col("covered") >= F.col("long")) | F.rlike("path", F.lit(FILE_NAME)))
+    rows = rows.select("id", "path", F.regexp_replace("path", "/?[^/]*$", "").alias("dir"), "own", F.col("best.cosine").alias("cosine"), F.coalesce(is_file, F.lit(False)).alias("is_file"))
     rows = materialise(rows, "licenses")
     licensed = rows.where("is_file").groupBy(F.col("dir").alias("ancestor")).agg(F.max(F.struct("cosine", "own"))["own"].alias("given"))
     parts = F.split("dir", "/")

@@ -10,3 +10,20 @@ def test_licenses(spark):
     got = {r["doc_id"]: (r["license"], r["origin"]) for r in scan_licenses(frame, path=frame["path"]).collect()}
     assert got == {1: ("MIT", "inherited"), 2: ("MIT", "own"), 3: ("CC-BY-NC-4.0", "own"), 4: (None, None), 5: (None, None), 6: ("Apache-2.0", "own"), 7: ("Apache-2.0", "inherited")}
     assert scan_licenses(frame, path=frame["path"]).count() == len(rows) and scan_licenses(frame.limit(0), path=frame["path"]).count() == 0
+
+
+def test_bodies_tags_and_notices_in_long_lines(spark):
+    import os
+
+    from faremill.llm import licenses
+
+    body = {n: open(os.path.join(licenses.TEXTS, f"{n}.txt")).read() for n in ("MIT", "BSD-3-Clause")}
+    texts = {
+        "MIT": [body["MIT"][body["MIT"].index("Permission") :].replace("\n", " "), "# SPDX-License-Identifier: MIT\ncode", "We met there. " * 9 + "Released under the MIT License. We then " + "went home " * 20],
+        "BSD-3-Clause": [body["BSD-3-Clause"][body["BSD-3-Clause"].index("Redistribution") :], "SPDX-License-Identifier: BSD-3-Clause"],
+        "Apache-2.0": ["SPDX-License-Identifier: Apache-2.0", "Apache License"], None: ["SPDX-License-Identifier: Zlib", "driver license renewal office"],
+    }
+    rows = [(i, f"{i}/x.txt", t, n) for i, (n, t) in enumerate((n, t) for n, ts in texts.items() for t in ts)]
+    frame = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(frame, path=frame["path"]).collect()}
+    assert got == {i: n for i, _, _, n in rows}
