@@ -19,8 +19,6 @@ from ..session import materialise
 from . import textstats, wordhash
 
 BUCKETS = 1 << 15
-#: Bound of the trusted ids that are broadcast; beyond it they are chosen by hash.
-MOST_TRUSTED = 100_000
 SMOOTHING = 1.0
 DEVIATIONS = 6.0
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -36,13 +34,9 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
 
 
 def _marked(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    few = trusted.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
-    count = few.count()
-    if count > MOST_TRUSTED:
-        few = few.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * MOST_TRUSTED / count))
-    few = few.limit(MOST_TRUSTED + MOST_TRUSTED // 10).withColumn("trusted", F.lit(True))
+    good = trusted.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct().withColumn("trusted", F.lit(True))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.join(F.broadcast(few), "id", "left").select("id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    return source.join(good, "id", "left").select("id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
 
 
 def log_ratios(marked: DataFrame) -> np.ndarray:

@@ -367,3 +367,11 @@ def test_mined_rules_are_not_crowded_out(spark):
     rows = [(f"u{i}", common, "allow") for i in range(300)] + [(f"v{i}", ["q:bad", "p:z"], "block") for i in range(20)]
     found = urlfilter.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string"))
     assert {(r[0], r[1]) for r in found} == {(frozenset([t]), "allow") for t in common} | {(frozenset([t]), "block") for t in ("q:bad", "p:z")}
+
+
+def test_rules_mark_all_trusted(spark, monkeypatch):
+    """No bound thins the trusted ids out."""
+    monkeypatch.setattr(rules, "MOST_TRUSTED", 10, raising=False)
+    trusted = spark.createDataFrame([(i,) for i in range(90)] + [(None,)], "doc_id long")
+    marked = rules._marked(docs(spark, [f"text {i}" for i in range(100)]), trusted, "doc_id", "text")
+    assert {r["id"] for r in marked.where("trusted").collect()} == set(range(90))
