@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -172,3 +173,71 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text of documents; of every tenth, by checksum, the end repeats with a period drawn from it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    chosen = chosen.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, (F.floor(F.col("h") / 10) % F.col("n")).cast("int")))
+    chosen = chosen.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.floor(F.col("h") / 10) % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    copies = F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    changed = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(F.flatten(copies), F.lit(1), rest))
+    return chosen.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+#: Octaves of lags that the twin of op12 looks at: texts of up to 4 * 2^13 words.
+_OCTAVES = 13
+
+
+def _runs_sql() -> str:
+    """Grams by doubling, next occurrences by octave of lags, stretches of neighbouring seeds."""
+    grams, seeds = [], []
+    for j in range(_OCTAVES + 1):
+        grams.append(f"g{2 * 2**j} AS (SELECT *, hash(g{2**j}, lead(g{2**j}, {2**j}) OVER o) AS g{2 * 2**j} FROM g{2**j} WINDOW o AS (PARTITION BY row ORDER BY i))")
+    for j in range(_OCTAVES):
+        low, wide, narrow, k = 2**j, 4 if j == 0 else 2 ** (j + 1), 1 if j == 0 else 2**j, 5 if j == 0 else 3 * 2**j
+        seeds.append(
+            f"SELECT row, i, lead(i) OVER (PARTITION BY row, g ORDER BY i) - i AS lag, {k} AS k, {low} AS low FROM "
+            f"(SELECT row, i, hash(g{wide}, lead(g{narrow}, {wide}) OVER (PARTITION BY row ORDER BY i)) AS g, n FROM grams) WHERE n - i >= {k}"
+        )
+    return rf"""
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+hashed AS (
+  SELECT row, doc_id, w, len(w) AS n, xor(list_reduce(
+      flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS h FROM rows),
+placed AS (SELECT *, (h // 10) % n AS a FROM hashed WHERE n > 0),
+timed AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+spread AS (SELECT row, n, a, p, h, w, unnest(range(n)) AS i FROM timed),
+g1 AS (SELECT row, n, i, word, hash(word) AS g1 FROM (SELECT row, n, i, w[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word FROM spread)),
+{", ".join(grams)},
+grams AS (SELECT * FROM g{2 * 2**_OCTAVES}),
+seeds AS ({" UNION ALL ".join(seeds)}),
+fitting AS (SELECT *, i - row_number() OVER (PARTITION BY row, lag ORDER BY i) AS island FROM seeds WHERE lag >= low AND lag < 2 * low),
+runs AS (SELECT row, lag, min(i) AS start, max(i) + any_value(k) - min(i) + lag AS length FROM fitting GROUP BY row, lag, island HAVING max(i) + any_value(k) - min(i) + lag >= greatest(6, 4 * lag)),
+told AS (
+  SELECT row, count(*) AS n_runs, arg_min({{'start': start, 'length': length, 'period': lag}}, (-length, start, lag)) AS best,
+    string_agg(concat(start, ',', length, ',', lag, chr(10)), '' ORDER BY start, lag) AS lines FROM runs GROUP BY row),
+dropped AS (SELECT DISTINCT row, unnest(range(start + lag, start + length)) AS i FROM runs),
+collapsed AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM g1 ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.start AS BIGINT) AS start, CAST(best.length AS BIGINT) AS length, CAST(best.period AS BIGINT) AS period,
+  CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256
+FROM rows LEFT JOIN told USING (row) LEFT JOIN collapsed c USING (row)
+"""
+
+
+@query("op12_runs", _runs_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import periodic_runs
+
+    found = periodic_runs(planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
