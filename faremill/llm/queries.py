@@ -241,3 +241,31 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op11_search",
+    r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+sized AS (SELECT *, len(t) AS n FROM texts WHERE len(t) > 0),
+facts AS (SELECT count(*) AS total, CAST(sum(n) AS BIGINT) AS long FROM sized),
+held AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM sized) GROUP BY row, term),
+asked AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS item, item_id,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item, item_id, term),
+weighed AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(total) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM held, facts GROUP BY term),
+scored AS (
+  SELECT item, item_id, s.row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * total) // long)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weighed USING (term) JOIN sized s USING (row), facts GROUP BY item, item_id, s.row, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexsearch import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -61,9 +61,9 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         first = end
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words in bytes, and for each text the index of its first word (one more at the end)."""
-    gap = SEPARATOR[data]
+    gap = separator[data]
     before, after = np.ones(len(data), bool), np.ones(len(data), bool)
     before[1:], after[:-1] = gap[:-1], gap[1:]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
