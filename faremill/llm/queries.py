@@ -269,3 +269,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lexsearch import rank_documents
 
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import compare_edits
+
+    found = compare_edits(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
