@@ -3,16 +3,18 @@
 Words and word pairs of every document are hashed to ``BUCKETS`` counts, once for the raw corpus and once for
 the trusted part. Both multinomials are smoothed; a document's score is the mean log ratio of its n-grams, so
 it doesn't grow with length. Documents below a fixed distance under the trusted mean fail; nothing is drawn
-at random.
+at random. The raw counts and the scores need no join; for the trusted counts, texts that are surely not trusted stay
+where they are, and mean and spread come from the thin table of scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -21,6 +23,8 @@ from . import textstats, wordhash
 BUCKETS = 1 << 15
 SMOOTHING = 1.0
 DEVIATIONS = 6.0
+#: Bits of the map that spares untrusted texts the shuffle.
+BITS = 1 << 27
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 
 
@@ -33,33 +37,60 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, first, hashes, (wordhash.mix(hashes) >> shift).astype(np.int64), (pairs >> shift).astype(np.int64), pair_first
 
 
-def _marked(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    good = trusted.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct().withColumn("trusted", F.lit(True))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.join(good, "id", "left").select("id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+def _maybe_trusted(good: DataFrame) -> Callable[[Column], Column]:
+    """A test of ids that all of ``good`` pass, and few others while these are far fewer than ``BITS``.
+
+    Hashes of the ids set bits of a bitmap of fixed size, built by Spark and sent to all tasks.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(BITS)) + 1
+    parts = good.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    wide = len(parts[0]["bits"]) if parts else 1
+    bits = np.zeros((BITS // (8 * wide) + 1) * wide, np.uint8)
+    for r in parts:
+        bits[(r["part"] - 1) * wide : r["part"] * wide] = np.frombuffer(r["bits"], np.uint8)
+    sent = good.sparkSession.sparkContext.broadcast(bits)
 
+    @F.pandas_udf("boolean")
+    def has(places: pd.Series) -> pd.Series:
+        at = places.fillna(-1).to_numpy(np.int64)
+        return pd.Series((at >= 0) & (sent.value[at >> 3] >> (at & 7) & 1 == 1))
 
-def log_ratios(marked: DataFrame) -> np.ndarray:
-    """log(trusted share / raw share) of each bucket, from the counts of all documents."""
+    return lambda ids: has(F.when(ids.isNotNull(), F.pmod(F.xxhash64(ids), F.lit(BITS))))
+
+
+def trusted_texts(source: DataFrame, good: DataFrame) -> DataFrame:
+    """The texts of trusted ids. Only rows that pass the bitmap are shuffled, and the join settles them exactly.
+
+    The ids grow with the corpus, so they are never broadcast: the plan is the same at every size.
+    """
+    maybe = _maybe_trusted(good)
+    return source.where(maybe(F.col("id"))).join(good.hint("merge"), "id", "left_semi")
+
+
+def _counts(texts: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, own = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for b in batches:
-            flags = b.column(1).to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in wordhash.slices(b.column(0)):
-                _, _, word_first, _, words, pairs, pair_first = _grams(data, offsets)
-                for grams, bounds in ((words, word_first), (pairs, pair_first)):
-                    raw += np.bincount(grams, minlength=BUCKETS)
-                    own += np.bincount(grams[np.repeat(flags[first:end], np.diff(bounds))], minlength=BUCKETS)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(own[at])], names=["bucket", "raw", "own"])
-
-    counts = marked.select("text", "trusted").mapInArrow(run, "bucket int, raw long, own long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("own").alias("own")).collect()
-    raw, own = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts:
-        raw[r["bucket"]], own[r["bucket"]] = r["raw"], r["own"]
+            for _, _, data, offsets in wordhash.slices(b.column(0)):
+                for grams in _grams(data, offsets)[4:6]:
+                    counts += np.bincount(grams, minlength=BUCKETS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["bucket", "n"])
+
+    out = np.zeros(BUCKETS)
+    for r in texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        out[r["bucket"]] = r["n"]
+    return out
+
+
+def log_ratios(source: DataFrame, good: DataFrame) -> np.ndarray:
+    """log(trusted share / raw share) of each bucket, from the counts of all documents."""
+    own = _counts(trusted_texts(source, good))
     if not own.sum():
         return np.zeros(BUCKETS)
+    raw = _counts(source)
     return np.log((own + SMOOTHING) / (own.sum() + SMOOTHING * BUCKETS)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS))
 
 
@@ -70,8 +101,9 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     A null text has no words and fails them. Rows of a repeated id are separate documents. Other columns are
     not read. An empty table gives an empty result.
     """
-    marked = _marked(docs, trusted, id_col, text_col)
-    ratios = log_ratios(marked)
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    good = materialise(trusted.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct(), "trusted")
+    ratios = log_ratios(source, good)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -90,12 +122,12 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                 ]
                 score = np.round(sums / np.maximum(counts + np.diff(pair_first), 1), 9)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, end - first), b.column(2).slice(first, end - first), *[pa.array(c.astype(np.int64)) for c in columns], pa.array(score)],
-                    names=["id", "trusted", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"],
+                    [b.column(0).slice(first, end - first), *[pa.array(c.astype(np.int64)) for c in columns], pa.array(score)],
+                    names=["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"],
                 )
 
-    rows = materialise(marked.mapInArrow(run, "id long, trusted boolean, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"), "rules")
-    own = rows.where(F.col("trusted") & (F.col("n_words") >= LEAST_WORDS)).agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).first()
+    rows = materialise(source.mapInArrow(run, "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"), "rules")
+    own = rows.where(F.col("n_words") >= LEAST_WORDS).join(good, "id", "left_semi").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).first()
     least = float("-inf") if own["mean"] is None else round(own["mean"] - DEVIATIONS * own["spread"], 6)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return rows.select(

@@ -163,9 +163,21 @@ def test_mixture_caps(spark):
 
 
 def test_differencing_is_near_equal():
-    lengths = np.random.default_rng(2).integers(1, 2000, 500)
-    sums = np.bincount(packing.differencing(lengths, 50), lengths)
-    assert len(sums) == 50 and sums.max() - sums.min() <= 20
+    """Nearer than longest-first on many lengths, and near the best of all partitions of few."""
+    rng = np.random.default_rng(2)
+    for trial in range(5):
+        lengths = rng.integers(1, 2000, 500)
+        sums = np.bincount(packing.differencing(lengths, 50), lengths)
+        longest_first = np.zeros(50, np.int64)
+        for n in sorted(lengths.tolist(), reverse=True):
+            longest_first[longest_first.argmin()] += n
+        assert len(sums) == 50 and sums.sum() == lengths.sum()
+        assert np.ptp(sums) <= np.ptp(longest_first)
+    for trial in range(20):
+        lengths = rng.integers(1, 100, 8)
+        sums = np.bincount(packing.differencing(lengths, 3), lengths, minlength=3)
+        best = min(max(np.bincount(p, lengths, minlength=3)) for p in itertools.product(range(3), repeat=8))
+        assert best <= sums.max() <= best * 7 / 6 + 1
     assert packing.windows_of(np.array([4000, 4000, 97])).tolist() != [0, 0, 0]
     assert np.bincount(packing.windows_of(np.array([3000, 3000, 3000])), [3000] * 3).max() == 3000
 
@@ -369,9 +381,11 @@ def test_mined_rules_are_not_crowded_out(spark):
     assert {(r[0], r[1]) for r in found} == {(frozenset([t]), "allow") for t in common} | {(frozenset([t]), "block") for t in ("q:bad", "p:z")}
 
 
-def test_rules_mark_all_trusted(spark, monkeypatch):
-    """No bound thins the trusted ids out."""
-    monkeypatch.setattr(rules, "MOST_TRUSTED", 10, raising=False)
-    trusted = spark.createDataFrame([(i,) for i in range(90)] + [(None,)], "doc_id long")
-    marked = rules._marked(docs(spark, [f"text {i}" for i in range(100)]), trusted, "doc_id", "text")
-    assert {r["id"] for r in marked.where("trusted").collect()} == set(range(90))
+@pytest.mark.parametrize("bits", [8, 1 << 15, rules.BITS])
+def test_rules_take_all_trusted_texts(spark, monkeypatch, bits):
+    """No bound thins the trusted ids out, and a crowded bitmap lets nothing else in."""
+    monkeypatch.setattr(rules, "BITS", bits)
+    trusted = spark.createDataFrame([(i,) for i in range(90)], "id long")
+    source = docs(spark, [f"text {i}" for i in range(100)] + ["no id"], ids=[*range(100), None]).selectExpr("doc_id as id", "text")
+    assert {r["id"] for r in rules.trusted_texts(source, trusted).collect()} == set(range(90))
+    assert rules.trusted_texts(source, trusted.limit(0)).count() == 0
