@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import gold, quality, silver
 from ..schema import TripRules
-from ..session import materialise
-from ..sources import bronze, tables
+from ..session import materialise, scratch_path
+from ..sources import bronze, manifest, tables
+from ..sources.manifest import Manifest
 
 MONTH = "pickup_month"
 
@@ -27,6 +28,10 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.root}/bronze/trips"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.root}/bronze/manifest"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/trips"
@@ -64,46 +69,32 @@ class Lake:
         return f"{self.root}/ml/registry"
 
 
-#: A load unit: the file, within the batch its rows belong to.
-UNIT = ["_batch_id", "_source_file"]
-
-
-def _landed(spark: SparkSession, lake: Lake, raw: DataFrame) -> DataFrame:
-    return tables.read_table(spark, lake.bronze) if tables.exists(spark, lake.bronze) else raw.limit(0)
+def book_of(spark: SparkSession, lake: Lake) -> Manifest:
+    return Manifest(spark, lake.manifest)
 
 
 def land(spark: SparkSession, lake: Lake, raw: DataFrame) -> DataFrame:
-    """Append files that were never loaded; returns rows and files per batch before and after.
+    """Append load units (batch and file) that were never loaded; returns rows and files per batch before and after.
 
-    The ledger is bronze itself, by batch and file name: a second file of a loaded month lands, a file that
-    was loaded does not. The months of new files are marked open first, so no crash can leave landed rows
-    that no later run looks at. A row without a batch stops the load before anything is committed.
+    The manifest says what was loaded: a second file of a loaded month lands, a file that was loaded does not, and
+    no earlier row of bronze is read. A row without a batch stops the load before anything is committed.
     """
-    before = materialise(bronze.file_ledger(_landed(spark, lake, raw)), "ledger")
-    fresh = bronze.rows_of_unseen(raw, before, UNIT)
-    batch = F.coalesce("_batch_id", F.raise_error(F.lit("a raw row has no _batch_id")).cast("string"))
-    months = tables.touched_values(fresh.withColumn("_batch_id", batch), "_batch_id")
-    if months:
-        mark(spark, lake, months, "open")
-        fresh.write.mode("append").partitionBy("_batch_id").parquet(lake.bronze)
-    return bronze.reconcile_files(before, bronze.file_ledger(_landed(spark, lake, raw)))
+    return manifest.load_rows(spark, book_of(spark, lake), lake.bronze, raw)
 
 
-def pending(spark: SparkSession, lake: Lake, mode: str = "missing_batches") -> list[str]:
-    """Landed months that did not get through every gate since their newest file came.
+def pending(spark: SparkSession, lake: Lake, mode: str = "missing_batches") -> dict[str, int]:
+    """Months that have not passed every gate since their newest load, with that load's time.
 
     ``missing_batches`` also picks up a month that arrived late; ``watermark`` takes only months beyond
     the newest finished one. Months are table metadata: one short text each.
     """
-    if not tables.exists(spark, lake.bronze):
-        return []
-    landed = tables.touched_values(tables.read_table(spark, lake.bronze), "_batch_id")
-    todo = set(landed) - set(finished(spark, lake))
+    newest, closed = book_of(spark, lake).newest(), _closed(spark, lake)
+    todo = {m: at for m, at in sorted(newest.items()) if closed.get(m, -1) < at}
     if mode == "watermark":
-        newest = max(ever_finished(spark, lake), default="")
-        return sorted(m for m in todo if m > newest)
+        last = max(closed, default="")
+        return {m: at for m, at in todo.items() if m > last}
     if mode == "missing_batches":
-        return sorted(todo)
+        return todo
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -115,10 +106,9 @@ def refresh_silver(spark: SparkSession, lake: Lake, months: list[str], rules: Tr
     """
     if not months:
         return
-    source = tables.read_table(spark, lake.bronze).filter(F.col("_batch_id").isin(months))
+    source = manifest.landed(spark, book_of(spark, lake), lake.bronze, months)
     own = replace(rules, dedup_keys=("_batch_id", *rules.dedup_keys))
-    rows = materialise(silver.build_silver(silver.typed_from_columns(source, own), own), "silver", "_batch_id")
-    quality.require_clean(quality.table_tests(rows, "silver", "trip_id", quality.SILVER_NOT_NULL))
+    rows = _tested(silver.build_silver(silver.typed_from_columns(source, own), own), "silver", "trip_id", quality.SILVER_NOT_NULL, "_batch_id")
     tables.replace_listed(spark, rows, lake.silver, "_batch_id", months)
 
 
@@ -131,39 +121,39 @@ def refresh_gold(spark: SparkSession, lake: Lake, zones: DataFrame, months: list
     if not months:
         return
     trips = tables.read_table(spark, lake.silver).filter(F.col("_batch_id").isin(months))
-    hourly = materialise(gold.with_month(gold.build_hourly(trips, zones, rules), "pickup_hour", MONTH), "hourly", MONTH)
-    quality.require_clean(quality.table_tests(hourly, "hourly", "fct_id", quality.HOURLY_NOT_NULL))
-    daily = materialise(gold.with_month(gold.build_daily(hourly.drop(MONTH)), "pickup_date", MONTH), "daily", MONTH)
-    quality.require_clean(quality.table_tests(daily, "daily", "fct_id", quality.DAILY_NOT_NULL))
+    hourly = _tested(gold.with_month(gold.build_hourly(trips, zones, rules), "pickup_hour", MONTH), "hourly", "fct_id", quality.HOURLY_NOT_NULL, MONTH)
+    daily = _tested(gold.with_month(gold.build_daily(hourly.drop(MONTH)), "pickup_date", MONTH), "daily", "fct_id", quality.DAILY_NOT_NULL, MONTH)
     tables.replace_listed(spark, hourly, lake.hourly, MONTH, months)
     tables.replace_listed(spark, daily, lake.daily, MONTH, months)
 
 
-def mark(spark: SparkSession, lake: Lake, months: list[str], state: str) -> None:
-    """Note that the layers of some months are being rebuilt (open) or agree again (done)."""
-    rows = [(time.time_ns(), m, state) for m in months]
-    if not rows:
-        return
-    spark.createDataFrame(rows, "at long, batch string, state string").coalesce(1).write.mode("append").parquet(lake.marks)
-
+def _tested(df: DataFrame, name: str, key: str, not_null: Sequence[str], partition_by: str) -> DataFrame:
+    """Write a layer to scratch and pass it through its gate; returns the written rows.
 
-def _marks(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    if not tables.exists(spark, lake.marks):
-        return None
-    last = lambda state: F.coalesce(F.max(F.when(F.col("state") == state, F.col("at"))), F.lit(-1))
-    return tables.read_table(spark, lake.marks).groupBy("batch").agg(last("open").alias("opened"), last("done").alias("closed"))
-
-
-def finished(spark: SparkSession, lake: Lake) -> list[str]:
-    """Months that passed every gate after they were last opened."""
-    marks = _marks(spark, lake)
-    return [] if marks is None else [r.batch for r in marks.filter("closed > opened").select("batch").collect()]
+    The NULL counts come from the write itself. Only the key column is read again, for its repeats.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    nulls = {c: F.count_if(F.col(c).isNull()) for c in not_null}
+    counted = manifest.write_observed(df.hint("rebalance", F.col(partition_by)), path, (partition_by,), nulls)
+    rows = spark.read.schema(df.schema).parquet(path)
+    tests = spark.createDataFrame([(name, c, "not_null", counted[c]) for c in not_null], "table_name string, column_name string, check_name string, failures long")
+    quality.require_clean(tests.unionByName(quality.unique_failures(rows, name, key)))
+    return rows
+
+
+def mark(spark: SparkSession, lake: Lake, months: dict[str, int]) -> None:
+    """Note up to which load the layers of some months agree."""
+    if months:
+        rows = [(at, m) for m, at in months.items()]
+        spark.createDataFrame(rows, "at long, batch string").coalesce(1).write.mode("append").parquet(lake.marks)
 
 
-def ever_finished(spark: SparkSession, lake: Lake) -> list[str]:
-    """Months that passed every gate at least once."""
-    marks = _marks(spark, lake)
-    return [] if marks is None else [r.batch for r in marks.filter("closed >= 0").select("batch").collect()]
+def _closed(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Of each month that passed every gate: the newest load that was in it then."""
+    if not tables.exists(spark, lake.marks):
+        return {}
+    return {r["batch"]: r["at"] for r in tables.read_table(spark, lake.marks).groupBy("batch").agg(F.max("at").alias("at")).collect()}
 
 
 def run_month(
@@ -178,18 +168,41 @@ def run_month(
     """One monthly run: land, check the load, then clean, test and publish layer by layer.
 
     ``expected`` names the months the run was started for; the run stops when one of them brought no row and
-    held none. A month is marked open before its first layer changes and done after its last gate, so a run
-    that a gate or a crash stopped in between is taken up by the next one, also when nothing new has landed.
-    Returns the months published.
+    held none. After its last gate a month is marked with the newest load it holds, so a run that a gate or a crash
+    stopped in between is taken up by the next one, also when nothing new has landed. Returns the months published.
     """
-    loaded = land(spark, lake, raw)
+    return publish(spark, lake, land(spark, lake, raw), zones, rules, mode, expected)
+
+
+def run_files(
+    spark: SparkSession,
+    lake: Lake,
+    directory: str,
+    schema: T.StructType,
+    batch: Column,
+    zones: DataFrame,
+    rules: TripRules = TripRules(),
+    mode: str = "missing_batches",
+    expected: Sequence[str] = (),
+    **source,
+) -> list[str]:
+    """One monthly run from a folder of files: those never loaded are counted while they land, then as run_month.
+
+    ``batch`` names a file's month, ``source`` holds the options of :func:`manifest.load_files`.
+    """
+    loaded = manifest.load_files(spark, book_of(spark, lake), lake.bronze, directory, schema, batch, **source)
+    return publish(spark, lake, loaded, zones, rules, mode, expected)
+
+
+def publish(spark: SparkSession, lake: Lake, loaded: DataFrame, zones: DataFrame, rules: TripRules, mode: str, expected: Sequence[str]) -> list[str]:
+    """Check what a load brought, then rebuild, test and publish the pending months layer by layer."""
     if expected:
         loaded = materialise(loaded, "loaded")
         for month in expected:
             bronze.require_load(loaded, month)
     months = pending(spark, lake, mode)
     if months:
-        refresh_silver(spark, lake, months, rules)
-        refresh_gold(spark, lake, zones, months, rules)
-        mark(spark, lake, months, "done")
-    return months
+        refresh_silver(spark, lake, list(months), rules)
+        refresh_gold(spark, lake, zones, list(months), rules)
+        mark(spark, lake, months)
+    return list(months)

@@ -12,16 +12,22 @@ from pyspark.sql import functions as F
 from ..functions.calendar import month_text
 from ..functions.numeric import exact_sum, round_half_up
 from ..operators import gold, silver
+from ..operators.quality import DataQualityError
 from ..session import materialise, scratch_path
-from ..sources import bronze, months, seeds, tables
+from ..sources import bronze, manifest, months, seeds, tables
 from . import inputs, oracle
 from .catalog import DT, daily_of, hourly_of, register, typed
+from .monthly import Lake, book_of
 from .oracle import half_up, total
 
 MONTH = "pickup_month"
 BY_BATCH = "_batch_id={month}"
 
 
+def _batch_of_file():
+    return F.regexp_extract("file", r"_batch_id=([0-9-]+)", 1)
+
+
 def _landed(spark, sf_dir, label):
     path = scratch_path(spark, label)
     inputs.raw_trips(spark, sf_dir).drop("_source_file").write.partitionBy("_batch_id").parquet(path)
@@ -85,6 +91,72 @@ def _reconcile(spark, sf_dir):
     return bronze.reconcile(before, raw)
 
 
+@register("manifest_loads", oracle.sql(
+    "SELECT _batch_id, CASE WHEN _batch_id < '2024-10' AND _batch_id <> '2024-05' THEN 1 ELSE 2 END AS brought_by, count(*) AS row_count,"
+    " CAST(1 AS BIGINT) AS files, CAST(0 AS BIGINT) AS loaded_again, true AS known_by_then, count(*) AS visible_rows FROM raw GROUP BY 1", "raw"))
+def _manifest(spark, sf_dir):
+    """A folder of month files, loaded as it fills: each file once, and a third run takes none.
+
+    An orphan of a load that never committed lies in bronze and is seen by nobody.
+    """
+    root = scratch_path(spark, "manifest")
+    raw = inputs.raw_trips(spark, sf_dir).drop("_source_file", "_ingested_at")
+    schema = raw.drop("_batch_id").schema
+    lake = Lake(f"{root}/lake")
+    book, steps = book_of(spark, lake), []
+    early = (F.col("_batch_id") < "2024-10") & (F.col("_batch_id") != "2024-05")
+    for lot in (early, ~early, None):
+        if lot is not None:
+            raw.where(lot).repartition("_batch_id").write.mode("append").partitionBy("_batch_id").parquet(f"{root}/in")
+        steps.append(materialise(manifest.load_files(spark, book, lake.bronze, f"{root}/in", schema, _batch_of_file()), "step"))
+    raw.limit(5).withColumns({manifest.LOAD: F.lit("crashed"), manifest.REJECT: F.lit(None).cast("string"), "_source_file": F.lit("x"), "_ingested_at": F.current_timestamp().cast("timestamp_ntz")}).write.mode("append").partitionBy(manifest.LOAD, "_batch_id").parquet(lake.bronze)
+    first, second, third = steps
+    brought = first.where("rows_loaded > 0").select("_batch_id", F.lit(1).cast("bigint").alias("brought_by"), F.col("rows_loaded").alias("row_count"), F.col("files_loaded").alias("files"))
+    brought = brought.union(second.where("rows_loaded > 0").select("_batch_id", F.lit(2).cast("bigint"), "rows_loaded", "files_loaded"))
+    visible = manifest.landed(spark, book, lake.bronze, list(book.newest())).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("visible_rows"))
+    told = third.select("_batch_id", F.col("rows_loaded").alias("loaded_again"), ((F.col("files_already_loaded") == F.col("files_before")) & F.col("already_loaded")).alias("known_by_then"))
+    return brought.join(told, "_batch_id").join(visible, "_batch_id")
+
+
+_EVENT_TEXT = "(SELECT strftime(ts, '%Y-%m') AS _batch_id, event_id % 50 = 0 AS bad FROM events) e"
+
+
+@register("bad_record_modes", (
+    "SELECT 'abort' AS on_error, _batch_id, CAST(0 AS BIGINT) AS rows_loaded, count(*) FILTER (WHERE bad) AS error_rows, CAST(0 AS BIGINT) AS visible_rows, CAST(0 AS BIGINT) AS quarantined, true AS stopped"
+    f" FROM {_EVENT_TEXT} GROUP BY 2 UNION ALL SELECT 'quarantine', _batch_id, count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE bad), count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE bad), true"
+    f" FROM {_EVENT_TEXT} GROUP BY 2"))
+def _bad_records(spark, sf_dir):
+    """Text files with planted bad records: one mode stops with nothing loaded, the other sets the bad ones apart.
+
+    Good and bad rows are counted by the write itself; the load gate stops a batch with error rows in both modes.
+    """
+    root = scratch_path(spark, "bad-records")
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    line = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "value": oops'))).otherwise(F.to_json(F.struct(*events.columns)))
+    lines = events.select(line.alias("value"), F.date_format("ts", "yyyy-MM").alias("_batch_id"))
+    lines.repartition("_batch_id").write.partitionBy("_batch_id").text(f"{root}/in")
+    out = None
+    for mode in ("abort", "quarantine"):
+        lake = Lake(f"{root}/{mode}")
+        book, stopped = book_of(spark, lake), False
+        try:
+            manifest.load_files(spark, book, lake.bronze, f"{root}/in", events.schema, _batch_of_file(), "*.txt", "json", mode)
+        except DataQualityError:
+            stopped = True
+        told = materialise(book.reconcile(0), "told")
+        if mode == "quarantine":
+            try:
+                bronze.require_load(told, told.agg(F.min("_batch_id")).first()[0])
+            except DataQualityError:
+                stopped = True
+        all_rows = tables.read_table(spark, lake.bronze).where(F.col(manifest.LOAD).isin(book.loads_of([r["_batch_id"] for r in told.select("_batch_id").collect()])))
+        seen = all_rows.groupBy("_batch_id").agg(F.count_if(F.col(manifest.REJECT).isNull()).alias("visible_rows"), F.count_if(F.col(manifest.REJECT).isNotNull()).alias("quarantined"))
+        part = told.select(F.lit(mode).alias("on_error"), "_batch_id", "rows_loaded", "error_rows").join(seen, "_batch_id", "left").na.fill(0)
+        part = part.select("on_error", "_batch_id", "rows_loaded", "error_rows", "visible_rows", "quarantined", F.lit(stopped).alias("stopped"))
+        out = part if out is None else out.union(part)
+    return out
+
+
 @register("watermark_batches", oracle.sql(
     "SELECT _batch_id, count(*) AS row_count FROM raw WHERE _batch_id > (SELECT max(_batch_id) FROM raw WHERE _batch_id < '2025-03')"
     " GROUP BY 1", "raw"))

@@ -117,12 +117,17 @@ def reconcile_files(before: DataFrame, after: DataFrame, key: str = "_batch_id")
 
 
 def require_load(reconciled: DataFrame, batch: str, error_rows: int = 0, key: str = "_batch_id") -> None:
-    """Stop the run on error rows, or when a batch added nothing and held nothing."""
-    if error_rows > 0:
-        raise DataQualityError(f"batch {batch}: {error_rows} rows failed to load")
+    """Stop the run on error rows, or when a batch added nothing and held nothing.
+
+    Error rows are those that the reconciliation counted for the batch, if it counts them, and ``error_rows``.
+    """
+    counted = F.coalesce(F.sum("error_rows"), F.lit(0)) if "error_rows" in reconciled.columns else F.lit(0)
     row = reconciled.filter(F.col(key) == batch).agg(
         F.coalesce(F.max("rows_loaded"), F.lit(0)).alias("loaded"),
         F.coalesce(F.max("rows_before"), F.lit(0)).alias("before"),
+        counted.alias("errors"),
     ).first()
+    if error_rows + row.errors > 0:
+        raise DataQualityError(f"batch {batch}: {error_rows + row.errors} rows failed to load")
     if row.loaded == 0 and row.before == 0:
         raise DataQualityError(f"batch {batch}: no rows loaded and none were present")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,14 +69,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written at ``path``."""
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    """Whether a table has been written at ``path``: the file system is asked for files, no footer is read."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return False
+    return any(not s.getPath().getName().startswith(("_temporary", ".", "_SUCCESS")) for s in fs.listStatus(folder))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.monthly import Lake, refresh_gold, refresh_silver
+from ..plans.monthly import Lake, book_of, refresh_gold, refresh_silver
 from ..schema import TripRules
-from ..sources import tables
+from ..sources import manifest
 
 
 def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules: TripRules = TripRules()) -> Callable[[DataFrame, int], None]:
@@ -23,16 +23,13 @@ def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules:
 
     def step(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        load = f"{number:08d}"
-        (
-            batch.withColumn("_load", F.lit(load))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_load", "_batch_id")
-            .parquet(lake.bronze)
-        )
-        raw = tables.read_table(session, lake.bronze)
-        touched = tables.touched_values(raw.filter(F.col("_load") == load), "_batch_id")
+        load, (_, at) = f"stream-{number:08d}", manifest.new_load()
+        rows = batch.withColumns({manifest.LOAD: F.lit(load), manifest.REJECT: F.lit(None).cast("string")}).hint("rebalance", F.col("_batch_id"))
+        if not manifest.write_observed(rows, lake.bronze, (manifest.LOAD, "_batch_id"), {"rows": F.count(F.lit(1))}, "overwrite")["rows"]:
+            return
+        book = book_of(session, lake)
+        book.commit_written(lake.bronze, load, at)
+        touched = [r["batch"] for r in book.entries().where(F.col("load") == load).select("batch").distinct().collect()]
         refresh_silver(session, lake, touched, rules)
         refresh_gold(session, lake, zones, touched, rules)
 
