@@ -101,12 +101,13 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             # A text mostly stands right before the one that follows it.
             following = [i + 1 if i + 1 < len(texts) and texts[i + 1] is f else -1 for i, f in enumerate(after)]
             apart = [f for f, i in zip(after, following, strict=True) if i < 0]
-            own = _signatures(sampler, pa.array(texts + apart, pa.large_string()))
-            own, others = own[: len(texts)], own[len(texts) :]
+            # A text and its edit share most terms, which are sampled once if they come together.
+            both = [t for pair in zip(texts, edited.to_pylist(), strict=True) for t in pair]
+            found = _signatures(sampler, pa.array(both + apart, pa.large_string()))
+            own, changed, others = found[: len(both) : 2], found[1 : len(both) : 2], found[len(both) :]
             follow = np.array(following)
             theirs = own[np.maximum(follow, 0)]
             theirs[follow < 0] = others
-            changed = _signatures(sampler, edited)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), edited, _text(own), _text(changed), pa.array((own == changed).mean(1)), pa.array((own == theirs).mean(1))],
                 names=["id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
