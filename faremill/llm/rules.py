@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from . import textstats, wordhash
 
-BUCKETS = 1 << 15
+BUCKETS, PARTS = 1 << 15, 1 << 7
 SMOOTHING = 1.0
 DEVIATIONS = 6.0
 #: Bits of the map that spares untrusted texts the shuffle.
@@ -68,7 +68,7 @@ def trusted_texts(source: DataFrame, good: DataFrame) -> DataFrame:
 
 
 def _counts(texts: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in all texts."""
+    """How often each bucket occurs in all texts: each task sends its counts in ``PARTS`` pieces, which are added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -76,13 +76,20 @@ def _counts(texts: DataFrame) -> np.ndarray:
             for _, _, data, offsets in wordhash.slices(b.column(0)):
                 for grams in _grams(data, offsets)[4:6]:
                     counts += np.bincount(grams, minlength=BUCKETS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([p.tobytes() for p in np.split(counts, PARTS)], pa.binary())], names=["part", "counts"])
 
-    out = np.zeros(BUCKETS)
-    for r in texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = r["n"]
-    return out
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "counts"])
+
+    pieces = texts.select("text").mapInArrow(run, "part int, counts binary").repartition("part").mapInArrow(add, "part int, counts binary")
+    out = np.zeros((PARTS, BUCKETS // PARTS))
+    for r in pieces.collect():
+        out[r["part"]] = np.frombuffer(r["counts"], np.int64)
+    return out.reshape(-1)
 
 
 def log_ratios(source: DataFrame, good: DataFrame) -> np.ndarray:
