@@ -62,11 +62,23 @@ def _variant(spark, sf_dir):
     """Rows landed as variants, read back and cast field by field."""
     path = scratch_path(spark, "variant")
     raw = inputs.raw_trips(spark, sf_dir)
-    bronze.as_variant_rows(raw, F.col("_batch_id"), F.col("_ingested_at")).write.partitionBy("_batch_id").parquet(path)
+    bronze.land_variants(raw, path, F.col("_batch_id"), F.col("_ingested_at"))
     return silver.typed_from_variant(spark.read.parquet(path)).select(
         "trip_id", "rate_code_id", "passenger_count", "tip_amount", "cbd_congestion_fee", "total_amount", "store_and_fwd_flag", "_batch_id")
 
 
+@register("variant_props", (
+    "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n_events, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total FROM events GROUP BY 1"))
+def _variant_props(spark, sf_dir):
+    """JSON text landed as a variant; one field of it is read back as text and as a number."""
+    path = scratch_path(spark, "props")
+    events = inputs.table(spark, sf_dir, "events")
+    events.select(F.try_parse_json("props").alias("props")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    text = F.try_variant_get("props", "$.k", "string")
+    return rows.groupBy(text.alias("k")).agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.try_variant_get("props", "$.k", "bigint")).alias("k_total"))
+
+
 @register("load_ledger", oracle.sql(
     "SELECT _batch_id, count(*) AS first_load, CAST(0 AS BIGINT) AS second_load FROM raw WHERE _batch_id <> '2024-02' GROUP BY 1"
     " UNION ALL SELECT _batch_id, CAST(0 AS BIGINT), count(*) FROM raw WHERE _batch_id = '2024-02' GROUP BY 1", "raw"))

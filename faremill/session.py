@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -14,7 +15,7 @@ _CHECKPOINT_CONF = "spark.checkpoint.dir"
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings that results depend on.
 
-    Only result-relevant settings are touched; parallelism, memory and broadcast
+    Only settings of results and storage format are touched; parallelism, memory and broadcast
     limits stay as the cluster configured them.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -22,6 +23,10 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.ansi.enabled", "true")
     # Month partitions are text; '2024-01' must not be read back as a date or number.
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    # Variants are stored with their common fields as typed Parquet columns, and a path look-up reads just its column.
+    # Values are the same either way; a field that changes its type from row to row stays in the variant.
+    for setting in ("writeShredding.enabled", "inferShreddingSchema", "allowReadingShredded", "pushVariantIntoScan"):
+        spark.conf.set(f"spark.sql.variant.{setting}", "true")
     return spark
 
 
@@ -59,8 +64,9 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        # Few files a partition, whatever the number of tasks; an oversized partition is split.
+        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -53,6 +53,15 @@ def as_variant_rows(raw: DataFrame, batch: Column | str, loaded_at: Column | Non
     )
 
 
+def land_variants(raw: DataFrame, path: str, batch: Column | str, loaded_at: Column | None = None) -> None:
+    """Append records as variants, a few files a batch.
+
+    The writer shreds the variant: fields that most rows of a file hold with one type become typed columns of the
+    file (see ``session.configure``), and readers fetch the fields they ask for instead of whole records.
+    """
+    as_variant_rows(raw, batch, loaded_at).hint("rebalance", F.col("_batch_id")).write.mode("append").partitionBy("_batch_id").parquet(path)
+
+
 def rows_per_file(df: DataFrame, file: str = "_source_file") -> DataFrame:
     return df.groupBy(file).agg(F.count(F.lit(1)).alias("row_count"))
 

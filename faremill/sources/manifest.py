@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import DataQualityError
+from ..session import materialise
 from . import tables
 
 LOAD = "_load"
@@ -89,7 +90,7 @@ class Manifest:
 
         Only the name column of this load's own files is read.
         """
-        own = tables.read_table(self.spark, bronze).where(F.col(LOAD) == load)
+        own = folders(self.spark, bronze, [load])
         per_unit = own.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("rows"))
         nothing = F.lit(None).cast("long")
         self.commit(
@@ -141,10 +142,16 @@ class Manifest:
         return both.select(F.col("batch").alias(UNIT[0]), *names, "files_already_loaded", "files_changed", already)
 
 
+def folders(spark: SparkSession, bronze: str, loads: Sequence[str]) -> DataFrame:
+    """All rows of some loads: only their folders are listed."""
+    return spark.read.option("basePath", bronze).parquet(*[f"{bronze}/{LOAD}={name}" for name in loads])
+
+
 def landed(spark: SparkSession, book: Manifest, bronze: str, batches: Sequence[str]) -> DataFrame:
-    """Good rows of committed loads of some batches; other loads and batches are pruned by their folders."""
-    rows = tables.read_table(spark, bronze).where(F.col(LOAD).isin(book.loads_of(batches)) & F.col(UNIT[0]).isin(list(batches)))
-    return rows.where(F.col(REJECT).isNull()).drop(REJECT, LOAD)
+    """Good rows of committed loads of some batches: no other load is listed, no other batch read."""
+    loads = book.loads_of(batches)
+    rows = folders(spark, bronze, loads) if loads else tables.read_table(spark, bronze).limit(0)
+    return rows.where(F.col(UNIT[0]).isin(list(batches)) & F.col(REJECT).isNull()).drop(REJECT, LOAD)
 
 
 def load_rows(spark: SparkSession, book: Manifest, bronze: str, raw: DataFrame) -> DataFrame:
@@ -187,7 +194,7 @@ def load_files(
     if on_error not in ("abort", "quarantine"):
         raise ValueError(f"unknown error mode {on_error!r}")
     _, began = new_load()
-    status = book.compare(list_files(spark, directory, pattern).withColumn("batch", batch))
+    status = materialise(book.compare(list_files(spark, directory, pattern).withColumn("batch", batch)), "file-status")
     # File metadata, a row a file that is not loaded yet.
     open_files = status.where(F.col("status") != LOADED).orderBy("file").collect()
     changed = [r for r in open_files if r["status"] == CHANGED]
