@@ -38,6 +38,20 @@ def exact_sum_sql(x: str, digits: int = 4) -> str:
     return f"(CAST({high} * {2**_LOW_BITS} + {low} AS DOUBLE) / {s})"
 
 
+def exact_parts_sql(x: str, digits: int, sign: str) -> tuple[str, str]:
+    """High and low bigint sums of :func:`exact_sum_sql`, each row counted ``sign`` times (1 or -1); SQL text.
+
+    Both are plain sums, so parts of groups add up, and a row is taken back by counting it with -1.
+    """
+    units = f"floor(({x}) * {10**digits}D + 0.5D)"
+    return f"sum({sign} * shiftright({units}, {_LOW_BITS}))", f"sum({sign} * ({units} & {2**_LOW_BITS - 1}L))"
+
+
+def exact_joined_sql(high: str, low: str, digits: int = 4) -> str:
+    """The double that a high and a low sum stand for; SQL text."""
+    return f"(CAST(CAST({high} AS DECIMAL(20,0)) * {2**_LOW_BITS} + {low} AS DOUBLE) / {10**digits}D)"
+
+
 def ratio_sql(a: str, b: str) -> str:
     """``a / b`` as a double, NULL when ``b`` is zero or NULL; SQL text."""
     return f"try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import HOUR_TEXT_FORMAT, hour_of, minutes_between, month_text
-from ..functions.numeric import exact_sum_sql, half_up_sql, ratio_sql
+from ..functions.numeric import exact_joined_sql, exact_parts_sql, exact_sum_sql, half_up_sql, ratio_sql
 from ..schema import TripRules
 
 
@@ -58,7 +58,6 @@ def build_hourly(silver: DataFrame, zones: DataFrame, rules: TripRules = TripRul
         "airport_fee",
         minutes_between("tpep_pickup_datetime", "tpep_dropoff_datetime").alias("minutes"),
     )
-    tip_pct = "CASE WHEN tip_amount IS NOT NULL AND fare_amount > 0 THEN tip_amount / fare_amount * 100.0D END"
     sums = trips.groupBy("pickup_hour", "pu_location_id", "vendor_id").agg(
         *_named(
             {
@@ -71,14 +70,19 @@ def build_hourly(silver: DataFrame, zones: DataFrame, rules: TripRules = TripRul
                 "_mile_rows": "count(trip_distance)",
                 "_minutes": "sum(minutes)",
                 "_minute_rows": "count(minutes)",
-                "_tip_pct": exact_sum_sql(tip_pct, 6),
-                "_tip_rows": f"count({tip_pct})",
+                "_tip_pct": exact_sum_sql(_TIP_PCT, 6),
+                "_tip_rows": f"count({_TIP_PCT})",
                 "_card_trips": f"count_if(payment_type = {rules.card_payment})",
                 "_congestion": exact_sum_sql("coalesce(cbd_congestion_fee, 0.0D)"),
                 "_airport": exact_sum_sql("coalesce(airport_fee, 0.0D)"),
             }
         )
     )
+    return _hourly_columns(sums, zones, rules)
+
+
+def _hourly_columns(sums: DataFrame, zones: DataFrame, rules: TripRules) -> DataFrame:
+    """Labels and ratios of summed hours."""
     labelled = with_zone_labels(sums, zones, rules)
     vendor_name = " ".join(f"WHEN {code} THEN '{label}'" for code, label in rules.vendor_labels.items())
     key = f"md5(concat(date_format(pickup_hour, '{HOUR_TEXT_FORMAT}'), '|', pu_location_id, '|', vendor_id))"
@@ -112,6 +116,47 @@ def build_hourly(silver: DataFrame, zones: DataFrame, rules: TripRules = TripRul
     return labelled.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
+_TIP_PCT = "CASE WHEN tip_amount IS NOT NULL AND fare_amount > 0 THEN tip_amount / fare_amount * 100.0D END"
+#: Values summed exactly, as high and low parts: SQL text and decimals.
+_EXACT = {
+    "_revenue": ("total_amount", 4),
+    "_fare": ("fare_amount", 4),
+    "_miles": ("trip_distance", 4),
+    "_tip_pct": (_TIP_PCT, 6),
+    "_congestion": ("coalesce(cbd_congestion_fee, 0.0D)", 4),
+    "_airport": ("coalesce(airport_fee, 0.0D)", 4),
+}
+#: Values of which NULLs are counted apart, since an hour without any has no sum.
+_ROWS = {"_passenger_rows": "passenger_count", "_mile_rows": "trip_distance", "_minute_rows": "minutes", "_tip_rows": _TIP_PCT, "_revenue_rows": "total_amount", "_fare_rows": "fare_amount"}
+HOUR_KEYS = ("pickup_hour", "pu_location_id", "vendor_id")
+
+
+def hourly_moments(trips: DataFrame, rules: TripRules = TripRules(), sign: str = "sign") -> DataFrame:
+    """Whole-number sums per hour, pickup zone and vendor, from which the hourly fact is worked out.
+
+    Each trip counts ``sign`` times, 1 or -1: the sums of several change sets add up to those of the trips that
+    are left, in any order.
+    """
+    rows = revenue_trips(trips, rules).withColumns({"pickup_hour": hour_of("tpep_pickup_datetime"), "minutes": minutes_between("tpep_pickup_datetime", "tpep_dropoff_datetime")})
+    sums = {"trip_count": f"sum({sign})", "total_passengers": f"sum({sign} * coalesce(passenger_count, 0))", "_minutes": f"sum({sign} * coalesce(minutes, 0))"}
+    sums |= {name: f"sum(CASE WHEN ({x}) IS NULL THEN 0 ELSE {sign} END)" for name, x in _ROWS.items()}
+    sums |= {"_card_trips": f"sum(CASE WHEN payment_type = {rules.card_payment} THEN {sign} ELSE 0 END)"}
+    for name, (x, digits) in _EXACT.items():
+        sums[f"{name}_high"], sums[f"{name}_low"] = exact_parts_sql(f"coalesce({x}, 0.0D)", digits, sign)
+    return rows.groupBy(*HOUR_KEYS).agg(*_named({name: f"CAST({sql} AS BIGINT)" for name, sql in sums.items()}))
+
+
+def hourly_from_moments(moments: DataFrame, zones: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+    """The hourly fact from the moments of any number of change sets; hours without a trip left are gone."""
+    columns = [c for c in moments.columns if c not in HOUR_KEYS]
+    total = moments.groupBy(*HOUR_KEYS).agg(*[F.sum(c).alias(c) for c in columns]).filter(F.col("trip_count") > 0)
+    whole = {name: exact_joined_sql(f"{name}_high", f"{name}_low", digits) for name, (_, digits) in _EXACT.items()}
+    known = {"total_passengers": "_passenger_rows", "_miles": "_mile_rows", "_minutes": "_minute_rows", "_revenue": "_revenue_rows", "_fare": "_fare_rows"}
+    sums = {name: whole.get(name, name) for name in ("trip_count", "total_passengers", "_minutes", "_card_trips", *_ROWS, *_EXACT)}
+    sums |= {name: f"CASE WHEN {rows} > 0 THEN {sums[name]} END" for name, rows in known.items()}
+    return _hourly_columns(total.selectExpr(*HOUR_KEYS, *[f"{sql} AS {name}" for name, sql in sums.items()]), zones, rules)
+
+
 # Trips paid by card in an hourly row, and the tip share weighted by them. Rows without a tip
 # share are left out on both sides of the ratio.
 CARD_TRIPS = "credit_card_trip_pct / 100.0D * trip_count"

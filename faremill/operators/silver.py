@@ -74,6 +74,32 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], newest_by: str, tiebreak:
     return ranked.filter(F.col("_row_num") == 1).drop("_row_num")
 
 
+def newer(a: str, b: str, newest_by: str, tiebreak: Sequence[str] = ()) -> Column:
+    """Whether row struct ``a`` comes strictly before ``b`` in the order of :func:`latest_by_key`."""
+    x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
+    out = F.lit(False)
+    for c in reversed(tiebreak):
+        before = F.coalesce(x(c) < y(c), x(c).isNull() & y(c).isNotNull())
+        out = before | (x(c).eqNullSafe(y(c)) & out)
+    before = F.coalesce(x(newest_by) > y(newest_by), x(newest_by).isNotNull() & y(newest_by).isNull())
+    return before | (x(newest_by).eqNullSafe(y(newest_by)) & out)
+
+
+def changed_rows(new: DataFrame, old: DataFrame, keys: Sequence[str], newest_by: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """What new rows change in a table that keeps the newest row of each key.
+
+    ``old`` holds at most one row a key. For each key whose newest row is new, that row comes with ``sign`` 1 and the
+    one it replaces, if any, with -1. Keys that keep their row come not at all; NULL is a key like any other.
+    """
+    names = new.columns
+    left = latest_by_key(new, keys, newest_by, tiebreak).select(F.struct(*names).alias("new"))
+    right = old.select(F.struct(*names).alias("old"))
+    same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
+    wins = left.join(right, same, "left").where(F.col("old").isNull() | newer("new", "old", newest_by, tiebreak))
+    both = F.array(F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")), F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")))
+    return wins.select(F.explode(F.filter(both, lambda c: c["row"].isNotNull())).alias("c")).select("c.row.*", "c.sign")
+
+
 def quality_predicates(rules: TripRules = TripRules()) -> dict[str, Column]:
     """Named acceptance rules. A NULL outcome counts as a rejection."""
     pickup = F.col("tpep_pickup_datetime")
@@ -88,8 +114,12 @@ def quality_predicates(rules: TripRules = TripRules()) -> dict[str, Column]:
     }
 
 
+def accepted(rules: TripRules = TripRules()) -> Column:
+    return reduce(lambda a, b: a & b, quality_predicates(rules).values())
+
+
 def quality_filter(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
-    return df.filter(reduce(lambda a, b: a & b, quality_predicates(rules).values()))
+    return df.filter(accepted(rules))
 
 
 def build_silver(typed: DataFrame, rules: TripRules = TripRules()) -> DataFrame:

@@ -48,6 +48,14 @@ class Lake:
     def marks(self) -> str:
         return f"{self.root}/runs/months"
 
+    @property
+    def winners(self) -> str:
+        return f"{self.root}/stream/winners"
+
+    @property
+    def moments(self) -> str:
+        return f"{self.root}/stream/moments"
+
     @property
     def forecast(self) -> str:
         return f"{self.root}/ml/demand_forecast"
@@ -121,7 +129,12 @@ def refresh_gold(spark: SparkSession, lake: Lake, zones: DataFrame, months: list
     if not months:
         return
     trips = tables.read_table(spark, lake.silver).filter(F.col("_batch_id").isin(months))
-    hourly = _tested(gold.with_month(gold.build_hourly(trips, zones, rules), "pickup_hour", MONTH), "hourly", "fct_id", quality.HOURLY_NOT_NULL, MONTH)
+    publish_facts(spark, lake, gold.build_hourly(trips, zones, rules), months)
+
+
+def publish_facts(spark: SparkSession, lake: Lake, hourly: DataFrame, months: list[str]) -> None:
+    """Test and publish the hourly rows of whole months, and the daily fact that follows from them."""
+    hourly = _tested(gold.with_month(hourly, "pickup_hour", MONTH), "hourly", "fct_id", quality.HOURLY_NOT_NULL, MONTH)
     daily = _tested(gold.with_month(gold.build_daily(hourly.drop(MONTH)), "pickup_date", MONTH), "daily", "fct_id", quality.DAILY_NOT_NULL, MONTH)
     tables.replace_listed(spark, hourly, lake.hourly, MONTH, months)
     tables.replace_listed(spark, daily, lake.daily, MONTH, months)
