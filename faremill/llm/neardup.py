@@ -37,27 +37,31 @@ CHUNK = 512
 
 
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """One row a document: id, set size, two sums that identify the set, registers."""
+    """One row a document: id, a hash of its text, set size, two sums that identify the set, registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in wordhash.slices(batch.column(1)):
+            for first, end, data, offsets in wordhash.slices(batch.column(2)):
                 runs, bounds = wordhash.shingle_runs(data, offsets, shingle)
                 sets = [np.unique(runs[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 registers = setsketch.sketches(runs, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, end - first),
+                        batch.column(1).slice(first, end - first),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).astype(np.int64)),
                         pa.array(np.array([np.bitwise_xor.reduce(wordhash.mix(s)) for s in sets], np.uint64).astype(np.int64)),
                         pa.array([r.tobytes() for r in registers], pa.binary()),
                     ],
-                    names=["id", "n", "sum", "xor", "registers"],
+                    names=["doc", "hash", "n", "sum", "xor", "registers"],
                 )
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "id long, n long, sum long, xor long, registers binary")
+    return _named(docs, id_col, text_col).mapInArrow(run, "doc long, hash long, n long, sum long, xor long, registers binary")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
 
 
 def _bands(reps: DataFrame) -> DataFrame:
@@ -152,21 +156,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents link if their distinct lower-cased word shingles have a Jaccard similarity of at least ``least``.
     A null text, or one without words, has an empty set and links with nothing. Fewer words than a shingle
-    are one shingle. component_id is the smallest id of the class; every row of a repeated id gets its own row.
-    Other columns are not read. An empty table gives an empty result.
+    are one shingle. component_id is the smallest id of the class; every row of a repeated id gets its own row, and
+    rows of one id with different texts are different documents. A class without any id has the component_id null,
+    and a null id is never kept. text_hash and chosen tell which rows a corpus without near-duplicates would hold:
+    the one of smallest id (null last) of each class, and all that link with nothing. Other columns are not read.
+    An empty table gives an empty result.
     """
-    all_rows = materialise(sketch_documents(docs, id_col, text_col, shingle), "sketches")
-    firsts = all_rows.where("n > 0").groupBy("n", "sum", "xor").agg(F.min("id").alias("rep"))
+    all_rows = materialise(sketch_documents(docs, id_col, text_col, shingle).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # Equal sets are named by one of their rows; from here to the classes, an id is such a row's number.
+    firsts = all_rows.where("n > 0").groupBy("n", "sum", "xor").agg(F.min("row").alias("rep"))
     firsts = materialise(firsts, "set-classes")
-    reps = all_rows.where("n > 0").join(firsts.select("n", "sum", "xor", F.col("rep").alias("id")), ["id", "n", "sum", "xor"]).select("id", "n", "registers").dropDuplicates(["id"])
+    reps = all_rows.join(firsts.select(F.col("rep").alias("row")), "row").select(F.col("row").alias("id"), "doc", "hash", "n", "registers")
     reps = materialise(reps, "representatives")
     members = _hub_sets(reps)
     sized = members.groupBy("hub").agg((F.count("*") + 1).alias("size"))
 
     wanted = members.select("id").union(members.select(F.col("hub").alias("id"))).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    profile = reps.join(wanted, "id")
-    candidates = materialise(texts.join(profile, "id").dropDuplicates(["id"]), "candidates")
+    profile = reps.join(wanted, "id").withColumnsRenamed({"doc": "of", "hash": "same"})
+    texts = _named(docs, id_col, text_col).join(profile, F.col("hash").eqNullSafe(F.col("same")) & F.col("doc").eqNullSafe(F.col("of")))
+    candidates = materialise(texts.select("id", "text", "n", "registers").dropDuplicates(["id"]), "candidates")
 
     # Stage 3: members in their chunk, the hub in each chunk.
     placed = members.join(sized, "hub").withColumn("chunk", F.pmod(F.xxhash64("id"), _chunks("size")).cast("int"))
@@ -190,9 +198,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = full.groupBy("hub", "class").agg(F.count("*").alias("rows"))
     most = counts.groupBy("hub").agg(F.max_by("class", F.struct("rows", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1")
     full = full.join(most.select("hub", "main"), "hub")
+    probes = full.where("class <> main")
+    # Chunks without a probe send none, so no row waits for them.
+    sending = probes.groupBy("hub").agg(F.collect_set("chunk").alias("chunks"))
+    home = full.join(sending, "hub").select("hub", "id", "class", F.col("chunk").alias("at"), F.explode("chunks").alias("of"), F.lit(False).alias("probe")).where(F.col("of") != F.col("at"))
     every = F.sequence(F.lit(0), _chunks("size") - 1)
-    home = full.select("hub", "id", "class", F.col("chunk").alias("at"), F.explode(every).alias("of"), F.lit(False).alias("probe")).where(F.col("of") != F.col("at"))
-    probe = full.where("class <> main").select("hub", "id", "class", F.explode(every).alias("at"), F.col("chunk").alias("of"), F.lit(True).alias("probe")).where(F.col("of") != F.col("at"))
+    probe = probes.select("hub", "id", "class", F.explode(every).alias("at"), F.col("chunk").alias("of"), F.lit(True).alias("probe")).where(F.col("of") != F.col("at"))
     met = home.union(probe).join(candidates, "id").repartition("hub", "at", "of").sortWithinPartitions("hub", "at", "of", "id")
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,11 +216,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         classes = components(edges.union(more))
 
-    lookup = firsts.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sum", "xor", F.coalesce("component", "rep").alias("component"))
-    out = all_rows.select("id", "n", "sum", "xor").join(lookup, ["n", "sum", "xor"], "left")
+    lookup = firsts.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sum", "xor", F.coalesce("component", "rep").alias("class"))
+    told = all_rows.drop("registers").join(lookup, ["n", "sum", "xor"], "left")
+    first = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "row")
+    best = told.where("class is not null").groupBy("class").agg(F.min(first).alias("best")).select("class", F.col("best.doc").alias("least"), F.col("best.row").alias("best"))
+    out = told.join(best, "class", "left")
+    component = F.when(F.col("class").isNull(), F.col("doc")).otherwise(F.col("least"))
     return out.select(
-        F.col("id").alias(id_col),
+        F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"),
-        (F.coalesce("component", "id") == F.col("id")).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("doc"), F.lit(False)).alias("kept"),
+        F.col("hash").alias("text_hash"),
+        F.coalesce(F.col("best") == F.col("row"), F.lit(True)).alias("chosen"),
     )

@@ -72,7 +72,7 @@ FROM sets s JOIN best b ON b.x = s.doc_id
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neardup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash", "chosen")
 
 
 @query("op3_secrets")

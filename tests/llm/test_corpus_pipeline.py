@@ -75,3 +75,14 @@ def test_run_on_an_empty_table(spark, tmp_path):
     for t in ("documents", "labels"):
         queries.table(spark, SF, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_keep_rows_without_an_id(spark):
+    """No row that resembles no other is lost, whatever its id; of a class one row stays."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (1, f"{long} more"), (1, "quite another text of the same id"), (None, f"new {long}"), (None, "a row without any id at all"), (None, None), (None, ""), (2, " "), (3, "twice the same row here"), (3, "twice the same row here")]
+    frame = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r["doc_id"], r["text"]) for r in pipeline.dedup_stage(spark, frame, SF).collect())
+    lone = [(1, "quite another text of the same id"), (None, "a row without any id at all"), (None, None), (None, ""), (2, " "), (3, "twice the same row here")]
+    assert all(got.pop(k) == 1 for k in lone)
+    assert len(got) == 1 and sum(got.values()) == 1 and next(iter(got))[0] == 1

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from faremill.llm import mixing, neardup, packing, quality, queries, rules, secrets, setsketch, topk, urlfilter
 from faremill.llm.extraction import extract
@@ -389,3 +390,24 @@ def test_rules_take_all_trusted_texts(spark, monkeypatch, bits):
     source = docs(spark, [f"text {i}" for i in range(100)] + ["no id"], ids=[*range(100), None]).selectExpr("doc_id as id", "text")
     assert {r["id"] for r in rules.trusted_texts(source, trusted).collect()} == set(range(90))
     assert rules.trusted_texts(source, trusted.limit(0)).count() == 0
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    """Two texts under one id keep both their links; rows without an id are documents too."""
+    rng = np.random.default_rng(12)
+    a, b = ([f"{k}{i}" for i in rng.integers(0, 10**6, 80)] for k in "ab")
+    near = lambda w: " ".join(["new", *w[1:]])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, near(a)), (6, near(b)), (None, " ".join(b[:-1])), (None, "alone in the world of words"), (None, None), (None, None), (9, " ".join(a)), (9, " ".join(a))]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in out)
+    assert got == {(5, 76, 5, True): 2, (7, 76, 5, False): 1, (6, 76, 5, False): 1, (None, 75, 5, False): 1, (None, 2, None, False): 1, (None, 0, None, False): 2, (9, 76, 5, False): 2}
+    assert sum(r["chosen"] for r in out) == 5  # one of each class of two texts, the lone row, two without words
+
+
+def test_near_duplicates_in_a_large_set_of_dissimilar_members(spark, monkeypatch):
+    """Members that link to nothing, in a set of many chunks: the same classes, and rows meet where probes are."""
+    monkeypatch.setattr(neardup, "CHUNK", 4)
+    monkeypatch.setattr(neardup, "_bands", lambda reps: reps.select(F.lit(1).cast("long").alias("band"), "id"))
+    texts = base_texts()[:60]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(spark, texts)).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(texts).items()}
