@@ -35,12 +35,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each near-duplicate class, once."""
+    """Keep one row of each near-duplicate class, that of smallest id (null last), and all that link with nothing.
+
+    Rows are told apart by id and text: a null id is an id like any other, rows of one id with different texts are
+    different documents, and of rows that are wholly equal one stays. Texts without words are no duplicates of
+    anything, so each such row stays.
+    """
     from faremill.llm.neardup import near_duplicates
 
     prepare(spark)
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return _shaped(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    wordless = ~F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    kept = near_duplicates(docs).where("chosen and n_shingles > 0").select(F.col("doc_id").alias("of"), F.col("text_hash").alias("same")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("same"))
+    unique = hashed.where(~wordless).join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return _shaped(unique).unionByName(_shaped(docs.where(wordless)))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
