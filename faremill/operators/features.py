@@ -88,7 +88,9 @@ def hour_lag_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), hours_per
     """The same features counted in clock hours: a missing hour gives NULL, not an older row.
 
     A range frame of exactly k hours holds at most one row because (key, hour) is unique,
-    so no self join is needed.
+    so no self join is needed. A trailing mean is the running sum up to the hour before less the running sum up to
+    k hours earlier, each read off the last row there; such frames only grow, so their cost does not depend on the
+    length of the window. The target is a whole number, hence the difference is exact.
     """
     df = panel.withColumn("_hour", hour_number(spec.time))
     chunked = hours_per_chunk is not None
@@ -98,10 +100,16 @@ def hour_lag_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), hours_per
     w = series_window([spec.key], "_hour", chunked)
     target = F.col(spec.target).cast("double")
     columns = {f"lag_{k}h_{spec.target}": F.max(target).over(w.rangeBetween(-k, -k)) for k in LAGS}
-    columns |= {f"rolling_{k}h_avg_{spec.target}": F.avg(target).over(w.rangeBetween(-k, -1)) for k in ROLLING}
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = F.struct(F.sum(F.coalesce(F.col(spec.target), F.lit(0))).over(so_far).alias("sum"), F.count(spec.target).over(so_far).alias("n"))
+    df = df.withColumn("_running", running)
+    until = {k: F.last("_running").over(w.rangeBetween(Window.unboundedPreceding, -k)) for k in (1, *(k + 1 for k in ROLLING))}
+    for k in ROLLING:
+        total, n = (F.coalesce(until[1][c], F.lit(0)) - F.coalesce(until[k + 1][c], F.lit(0)) for c in ("sum", "n"))
+        columns[f"rolling_{k}h_avg_{spec.target}"] = F.try_divide(total.cast("double"), n.cast("double"))
     if spec.exogenous:
         columns["lag_168h_congestion_fees"] = F.max(spec.exogenous).over(w.rangeBetween(-WEEK_HOURS, -WEEK_HOURS))
-    out = df.withColumns(columns).drop("_hour")
+    out = df.withColumns(columns).drop("_hour", "_running")
     if chunked:
         out = out.filter(F.col(OWN)).drop(CHUNK, OWN)
     return out

@@ -215,3 +215,23 @@ def test_matrix_gate(spark):
         quality.require_matrix(good, date(2024, 1, 2), date(2024, 1, 1), features=["f"], min_rows=1)
     with pytest.raises(quality.DataQualityError):
         quality.require_matrix(good, *args, features=["g"], min_rows=1)
+
+
+def test_hour_frames_of_gappy_series(spark):
+    """Trailing clock-hour means against brute force, with gaps, NULL targets and several keys, whole and in chunks."""
+    import random
+    from datetime import datetime, timedelta
+
+    rng, start, rows = random.Random(3), datetime(2024, 1, 1), []
+    for key in (1, 2, 3):
+        for h in sorted(rng.sample(range(900), 40 if key == 1 else 500)):
+            rows.append((key, start + timedelta(hours=h), None if rng.random() < 0.1 else rng.randrange(50), 1.0))
+    df = spark.createDataFrame(rows, "pu_location_id int, pickup_hour timestamp_ntz, trip_count long, total_congestion_fees double")
+    value = {(k, t): v for k, t, v, _ in rows}
+    for chunk in (None, 200):
+        for r in features.hour_lag_features(df, hours_per_chunk=chunk).collect():
+            for n in (24, 168):
+                seen = [v for i in range(1, n + 1) if (v := value.get((r.pu_location_id, r.pickup_hour - timedelta(hours=i)))) is not None]
+                got = r[f"rolling_{n}h_avg_trip_count"]
+                assert got == (sum(seen) / len(seen) if seen else None)
+            assert r["lag_24h_trip_count"] == value.get((r.pu_location_id, r.pickup_hour - timedelta(hours=24)))
