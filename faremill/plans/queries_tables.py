@@ -15,6 +15,7 @@ from ..operators import gold, silver
 from ..operators.quality import DataQualityError
 from ..session import materialise, scratch_path
 from ..sources import bronze, manifest, months, seeds, tables
+from ..sources.bucketed import BucketedTable
 from . import inputs, oracle
 from .catalog import DT, daily_of, hourly_of, register, typed
 from .monthly import Lake, book_of
@@ -243,22 +244,43 @@ def _delete(spark, sf_dir):
     return _month_totals(tables.read_table(spark, path))
 
 
-@register("upsert_daily", oracle.sql(
+_UPSERT = oracle.sql(
     _month_sql("(SELECT pickup_date, trip_count, CASE WHEN pickup_borough = 'Queens' AND pickup_date >= DATE '2025-03-15'"
-               " THEN total_revenue + 10.0E0 ELSE total_revenue END AS total_revenue FROM daily)"), "daily"))
-def _upsert(spark, sf_dir):
-    """A table that lacks two months receives corrected and new rows by key."""
+               " THEN total_revenue + 10.0E0 ELSE total_revenue END AS total_revenue FROM daily)"), "daily")
+
+
+def _change_set(spark, sf_dir):
+    """A daily table that lacks two months, and corrected and new rows for it."""
     full = gold.with_month(daily_of(spark, sf_dir), "pickup_date", MONTH)
     full = materialise(full, "daily")
-    path = scratch_path(spark, "upsert-target")
-    tables.replace_partitions(full.filter(F.col(MONTH) < "2025-05"), path, MONTH)
     corrected = full.filter((F.col("pickup_borough") == "Queens") & (F.col("pickup_date") >= F.lit(date(2025, 3, 15))))
     change = corrected.withColumn("total_revenue", F.col("total_revenue") + F.lit(10.0)).unionByName(
         full.filter((F.col(MONTH) >= "2025-05") & (F.col("pickup_borough") != "Queens")))
+    return full.filter(F.col(MONTH) < "2025-05"), change
+
+
+@register("upsert_daily", _UPSERT)
+def _upsert(spark, sf_dir):
+    """A table that lacks two months receives corrected and new rows by key."""
+    old, change = _change_set(spark, sf_dir)
+    path = scratch_path(spark, "upsert-target")
+    tables.replace_partitions(old, path, MONTH)
     tables.upsert(spark, path, change, ["fct_id"], MONTH)
     return _month_totals(tables.read_table(spark, path))
 
 
+@register("upsert_bucketed", _UPSERT)
+def _upsert_bucketed(spark, sf_dir):
+    """The same merge into a table bucketed and sorted by its key; the old rows are not shuffled."""
+    old, change = _change_set(spark, sf_dir)
+    path = scratch_path(spark, "upsert-bucketed")
+    table = BucketedTable(spark, f"daily_{path[-32:]}", path, ("fct_id",), MONTH, 8)
+    table.register(old.schema)
+    table.replace(old)
+    table.upsert(change)
+    return _month_totals(table.read())
+
+
 @register("rerun_replaces_run", oracle.sql(
     "SELECT strftime(pickup_hour, '%Y-%m') AS forecast_month, CASE WHEN pickup_hour >= TIMESTAMP '2025-05-01 00:00:00' THEN '2025-08-06'"
     " ELSE '2025-06-05' END AS run_date, count(*) AS row_count FROM (SELECT pickup_hour, pu_location_id FROM hourly"

@@ -255,3 +255,25 @@ def test_scratch_follows_the_cluster_setting(spark):
 
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def test_bucketed_merge_never_shuffles_the_old_side(spark, tmp_path):
+    from faremill.sources.bucketed import BucketedTable
+
+    path = scratch_path(spark, "bucketed")
+    schema = frame(spark, []).schema
+    table = BucketedTable(spark, f"t_{path[-32:]}", path, ("k",), "month", 4)
+    table.register(schema)
+    assert table.upsert(frame(spark, [(i, f"2024-0{1 + i % 3}", float(i)) for i in range(60)] + [(None, "2024-01", -1.0)])) == ["2024-01", "2024-02", "2024-03"]
+    february = {f for f in table.read().inputFiles() if "month=2024-02" in f}
+    change = frame(spark, [(0, "2024-01", 100.0), (2, "2024-03", 102.0), (90, "2024-01", 90.0)])
+    plan = table.untouched(change, ["2024-01", "2024-03"])._jdf.queryExecution().executedPlan().toString()
+    old_side = plan[: plan.index("Exchange")] if "Exchange" in plan else plan
+    assert "FileScan" in old_side and "SelectedBucketsCount: 4 out of 4" in old_side and plan.count("Exchange") <= 2
+    assert table.upsert(change) == ["2024-01", "2024-03"]
+    got = {(r.k, r.month): r.v for r in table.read().collect()}
+    want = {(i, f"2024-0{1 + i % 3}"): float(i) for i in range(60)} | {(None, "2024-01"): -1.0, (0, "2024-01"): 100.0, (2, "2024-03"): 102.0, (90, "2024-01"): 90.0}
+    assert got == want and {f for f in table.read().inputFiles() if "month=2024-02" in f} == february
+    again = BucketedTable(spark, f"{table.name}_again", path, ("k",), "month", 4)
+    again.register(schema)
+    assert {(r.k, r.month): r.v for r in again.read().collect()} == want
