@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import month_start, month_text
 from ..functions.numeric import exact_sum, round_half_even
 from ..schema import PolicySpec
+from ..session import materialise
 
 # Weekday labels; the first in text order is the reference level.
 WEEKDAYS = ("Fri", "Mon", "Sat", "Sun", "Thu", "Tue", "Wed")
@@ -113,6 +114,20 @@ def cross_products(cells: DataFrame, spec: PolicySpec = PolicySpec()) -> DataFra
     sum of products minus, per zone, product of sums over n. Products are formed inside a
     cell between its few non-zero regressors, so their number follows the design's width.
     """
+    return _summed(_zone_terms(cells, spec))
+
+
+def _summed(terms: DataFrame, *by: str) -> DataFrame:
+    return terms.groupBy(*by, F.col("i").alias("row_name"), F.col("j").alias("col_name")).agg(F.sum("total").alias("total"), F.sum("within").alias("within"))
+
+
+def zone_products(cells: DataFrame, spec: PolicySpec = PolicySpec()) -> DataFrame:
+    """The cross-product table of each zone: (zone, row_name, col_name, total, within)."""
+    return _summed(_zone_terms(cells, spec), spec.key)
+
+
+def _zone_terms(cells: DataFrame, spec: PolicySpec) -> DataFrame:
+    """(zone, i, j, total, within): plain products, and the zone's mean products to take out of ``within``."""
     pairs = F.flatten(
         F.transform(
             "_x",
@@ -147,13 +162,10 @@ def cross_products(cells: DataFrame, spec: PolicySpec = PolicySpec()) -> DataFra
             ),
         )
     )
-    means = sums.select(F.explode(outer).alias("p")).filter((F.col("p.i") != _Y) | (F.col("p.j") == _Y))
+    means = sums.select(spec.key, F.explode(outer).alias("p")).filter((F.col("p.i") != _Y) | (F.col("p.j") == _Y))
     zero = F.lit(0.0)
-    terms = per_zone.select("i", "j", F.col("v").alias("total"), F.col("v").alias("within")).unionByName(
-        means.select(F.col("p.i").alias("i"), F.col("p.j").alias("j"), zero.alias("total"), F.col("p.v").alias("within"))
-    )
-    return terms.groupBy(F.col("i").alias("row_name"), F.col("j").alias("col_name")).agg(
-        F.sum("total").alias("total"), F.sum("within").alias("within")
+    return per_zone.select(spec.key, "i", "j", F.col("v").alias("total"), F.col("v").alias("within")).unionByName(
+        means.select(spec.key, F.col("p.i").alias("i"), F.col("p.j").alias("j"), zero.alias("total"), F.col("p.v").alias("within"))
     )
 
 
@@ -198,6 +210,53 @@ def solve(products: DataFrame, n_zones: int) -> Fit:
     return Fit(names, tuple(float(b) for b in beta), tuple(p_values), r2, int(n), rank)
 
 
+def score_products(zones: DataFrame, beta: dict[str, float], spec: PolicySpec = PolicySpec()) -> DataFrame:
+    """(row_name, col_name, product): sums over zones of the outer products of each zone's scores.
+
+    A zone's score of a regressor is the sum of its (within-zone) values times the residuals at ``beta``; names that
+    ``beta`` lacks count as 0. A zone is one row as wide as the design, so nothing but its few names is paired.
+    """
+    weight = F.when(F.col("col_name") == _Y, F.lit(1.0))
+    for name, b in beta.items():
+        weight = weight.when(F.col("col_name") == name, F.lit(-float(b)))
+    named = zones.where((F.col("row_name") != _CONST) & (F.col("row_name") != _Y) & (F.col("col_name") != _CONST))
+    scores = named.groupBy(spec.key, "row_name").agg(F.coalesce(F.sum(F.col("within") * weight), F.lit(0.0)).alias("score"))
+    wide = scores.groupBy(spec.key).agg(F.collect_list(F.struct("row_name", "score")).alias("s"))
+    pairs = F.flatten(F.transform("s", lambda a: F.transform(F.col("s"), lambda b: F.struct(a["row_name"].alias("row_name"), b["row_name"].alias("col_name"), (a["score"] * b["score"]).alias("v")))))
+    return wide.select(F.explode(pairs).alias("p")).groupBy("p.row_name", "p.col_name").agg(F.sum("p.v").alias("product"))
+
+
+@dataclass(frozen=True)
+class ClusteredFit:
+    fit: Fit
+    std_error: tuple[float, ...]
+    p_value: tuple[float | None, ...]
+
+
+def clustered_fit(cells: DataFrame, n_zones: int, spec: PolicySpec = PolicySpec()) -> ClusteredFit:
+    """The fit with a covariance that allows any correlation of a zone's days.
+
+    The sandwich of the inverse cross products around the zones' score products, times
+    zones / (zones - 1) * (rows - 1) / (rows - rank): the zone effects lie within zones and cost no degree of
+    freedom there. Tails are Student's with zones - 1 degrees. The zones' products are written once and read for both parts.
+    """
+    zones = materialise(zone_products(cells, spec), "zone-products")
+    products = materialise(zones.groupBy("row_name", "col_name").agg(F.sum("total").alias("total"), F.sum("within").alias("within")), "products")
+    fit = solve(products, n_zones)
+    k, names = len(fit.names), {n: i for i, n in enumerate(fit.names)}
+    a, meat = np.zeros((k, k)), np.zeros((k, k))
+    for r in products.collect():
+        if r["row_name"] in names and r["col_name"] in names:
+            a[names[r["row_name"]], names[r["col_name"]]] = r["within"]
+    for r in score_products(zones, dict(zip(fit.names, fit.beta, strict=True)), spec).collect():
+        meat[names[r["row_name"]], names[r["col_name"]]] = r["product"]
+    inverse = np.linalg.pinv(a, hermitian=True) if k else a
+    scale = n_zones / (n_zones - 1) * (fit.n_rows - 1) / (fit.n_rows - fit.rank) if n_zones > 1 else math.nan
+    errors = np.sqrt(np.maximum(np.diag(inverse @ meat @ inverse) * scale, 0.0))
+    p = [student_t_two_sided(b / e, n_zones - 1) if e > 0 else None for b, e in zip(fit.beta, errors.tolist(), strict=True)]
+    return ClusteredFit(fit, tuple(errors.tolist()), tuple(p))
+
+
 def student_t_two_sided(t: float, dof: float) -> float:
     """Two-sided tail of Student's t through the regularised incomplete beta function."""
     return _incomplete_beta(dof / 2.0, 0.5, dof / (dof + t * t))

@@ -23,14 +23,17 @@ _BASELINE = "position int, feature string, mean double, std double"
 
 
 def training_matrix(hourly: DataFrame, run_date: date, cache: str | None = None) -> DataFrame:
-    """Complete feature rows of a run, saved once because every fit reads them again."""
+    """Complete feature rows of a run, saved once because every fit reads them again.
+
+    A cache is kept by split dates and by the files of ``hourly``: after a reload of the same months it is built anew.
+    """
     s = splits.rolling_splits(run_date)
 
     def build() -> DataFrame:
         return features.complete_rows(features.build_feature_matrix(hourly, s.train_start, s.test_end))
 
     if cache:
-        return tables.cached(hourly.sparkSession, f"{cache}/{s.train_start}_{s.test_end}", build)
+        return tables.cached(hourly.sparkSession, f"{cache}/{s.train_start}_{s.test_end}", build, tables.version_of(hourly))
     return materialise(build(), "matrix")
 
 

@@ -114,6 +114,31 @@ def _fit(spark, sf_dir):
     return _coefficients(spark, [(o, policy.fit_effect(rows, o, n)) for o in ("trip_count", "total_revenue")])
 
 
+def _scores_sql() -> str:
+    z = _products_sql()
+    z = z[: z.index(" SELECT row_name")]
+    score = {a: f"(p_{a}__y - s_{a}*s_y/n)" for a in _X}
+    rows = " UNION ALL ".join(f"SELECT '{a}' AS row_name, '{b}' AS col_name, sum({score[a]}*{score[b]}) AS product FROM z" for a in _X for b in _X)
+    return f"{z} SELECT row_name, col_name, round(product / 1E3) AS product FROM ({rows})"
+
+
+@register("did_score_products", oracle.sql(_scores_sql(), "study"))
+def _score_products(spark, sf_dir):
+    """Score products of zones where no regressor has an effect: the meat of the clustered covariance at zero."""
+    cells = policy.effect_cells(policy.study_rows(daily_of(spark, sf_dir), RUN_DATE), "trip_count")
+    products = policy.score_products(policy.zone_products(cells), {})
+    return products.select("row_name", "col_name", F.round(F.col("product") / 1e3).alias("product"))
+
+
+@register("did_clustered")
+def _clustered(spark, sf_dir):
+    """The two-way fit with errors clustered by zone."""
+    rows = policy.study_rows(_daily(spark, sf_dir), RUN_DATE)
+    found = policy.clustered_fit(policy.effect_cells(rows, "trip_count"), policy.zone_count(rows))
+    out = [(n, found.fit.beta[i], found.std_error[i], found.p_value[i], found.fit.p_value[i]) for i, n in enumerate(found.fit.names)]
+    return spark.createDataFrame(out, "term string, beta double, clustered_error double, clustered_p_value double, plain_p_value double")
+
+
 @register("did_robustness")
 def _robustness(spark, sf_dir):
     """Placebo date a year earlier on pre-policy rows, and the fit without one control borough."""

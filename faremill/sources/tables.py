@@ -7,6 +7,7 @@ job commit, so files being read stay in place until the write has succeeded.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -201,8 +202,17 @@ def replace_run(spark: SparkSession, path: str, df: DataFrame, run_column: str,
     replace_partitions(change, path, partition_by)
 
 
-def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read a saved result, or compute and save it first."""
-    if not exists(spark, path):
-        build().write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+def version_of(df: DataFrame) -> str:
+    """A name for the stored input of ``df``: it changes whenever a file of a table it reads is written anew.
+
+    Spark gives every written file a name of its own, so the sorted names are enough; they are metadata.
+    """
+    return hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()[:16]
+
+
+def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame], version: str = "") -> DataFrame:
+    """Read a saved result, or compute and save it first; results of another ``version`` of the input are not read."""
+    target = f"{path}_{version}" if version else path
+    if not exists(spark, target):
+        build().write.mode("errorifexists").parquet(target)
+    return spark.read.parquet(target)

@@ -165,6 +165,34 @@ def test_fit_equals_dense_least_squares(spark):
         assert fit.r_squared == pytest.approx(r2, rel=1e-9)
 
 
+def test_clustered_errors_equal_a_dense_sandwich(spark):
+    rng = np.random.default_rng(7)
+    noise, drift = {}, {}
+
+    def value(z, d, treated):
+        shock = drift.setdefault((z, d.month), rng.normal(0, 6))
+        return 50 * z + shock + noise.setdefault((z, d), rng.normal(0, 4)) + 1.0 * (treated and d >= SPEC.effective) + d.weekday()
+
+    rows, n = study(spark, value)
+    got = policy.clustered_fit(policy.effect_cells(rows, "trip_count"), n)
+    pdf = rows.toPandas()
+    days = sorted(pdf.day_of_week.unique())
+    x = np.column_stack([pdf.post, pdf.post_treated, *[(pdf.day_of_week == d) for d in days[:-1]]]).astype(float)
+    y, zone = pdf.trip_count.to_numpy(float), pdf.pu_location_id.to_numpy()
+    for z in np.unique(zone):
+        x[zone == z] -= x[zone == z].mean(0)
+        y[zone == z] -= y[zone == z].mean()
+    inverse = np.linalg.pinv(x.T @ x)
+    beta = inverse @ x.T @ y
+    scores = np.array([x[zone == z].T @ (y - x @ beta)[zone == z] for z in np.unique(zone)])
+    rank = np.linalg.matrix_rank(x)
+    variance = (inverse @ scores.T @ scores @ inverse)[1, 1] * n / (n - 1) * (len(y) - 1) / (len(y) - rank)
+    at = got.fit.names.index(policy.INTERACTION)
+    assert got.fit.beta[at] == pytest.approx(beta[1], rel=1e-8)
+    assert got.std_error[at] == pytest.approx(math.sqrt(variance), rel=1e-6)
+    assert got.p_value[at] == pytest.approx(policy.student_t_two_sided(beta[1] / math.sqrt(variance), n - 1), rel=1e-6)
+
+
 def test_student_t_tail():
     # Two degrees of freedom have a closed form; large ones approach the normal tail.
     for t in (0.1, 1.0, 4.3, 30.0):

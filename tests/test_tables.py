@@ -277,3 +277,14 @@ def test_bucketed_merge_never_shuffles_the_old_side(spark, tmp_path):
     again = BucketedTable(spark, f"{table.name}_again", path, ("k",), "month", 4)
     again.register(schema)
     assert {(r.k, r.month): r.v for r in again.read().collect()} == want
+
+
+def test_cache_follows_its_input(spark):
+    source, path = scratch_path(spark, "source"), scratch_path(spark, "cache")
+    sums = []
+    for v in (1.0, 2.0, None):
+        if v:
+            frame(spark, [(1, "2024-01", v)]).write.mode("overwrite").parquet(source)
+        rows = spark.read.parquet(source)
+        sums.append(tables.cached(spark, path, lambda rows=rows: rows, tables.version_of(rows)).first().v)
+    assert sums == [1.0, 2.0, 2.0]
