@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators import gold, quality, silver
 from ..schema import TripRules
-from ..session import materialise, scratch_path
+from ..session import materialise, scratch_path, scratch_scope
 from ..sources import bronze, manifest, tables
 from ..sources.manifest import Manifest
 
@@ -184,7 +184,8 @@ def run_month(
     held none. After its last gate a month is marked with the newest load it holds, so a run that a gate or a crash
     stopped in between is taken up by the next one, also when nothing new has landed. Returns the months published.
     """
-    return publish(spark, lake, land(spark, lake, raw), zones, rules, mode, expected)
+    with scratch_scope(spark):
+        return publish(spark, lake, land(spark, lake, raw), zones, rules, mode, expected)
 
 
 def run_files(
@@ -203,8 +204,9 @@ def run_files(
 
     ``batch`` names a file's month, ``source`` holds the options of :func:`manifest.load_files`.
     """
-    loaded = manifest.load_files(spark, book_of(spark, lake), lake.bronze, directory, schema, batch, **source)
-    return publish(spark, lake, loaded, zones, rules, mode, expected)
+    with scratch_scope(spark):
+        loaded = manifest.load_files(spark, book_of(spark, lake), lake.bronze, directory, schema, batch, **source)
+        return publish(spark, lake, loaded, zones, rules, mode, expected)
 
 
 def publish(spark: SparkSession, lake: Lake, loaded: DataFrame, zones: DataFrame, rules: TripRules, mode: str, expected: Sequence[str]) -> list[str]:

@@ -11,6 +11,7 @@ from ..functions.calendar import month_text
 from ..operators import gold, silver
 from ..plans.monthly import MONTH, Lake, book_of, publish_facts
 from ..schema import TripRules
+from ..session import scratch_scope
 from ..sources import manifest, tables
 
 BATCH, PICKUP = "_batch_id", "tpep_pickup_datetime"
@@ -72,7 +73,8 @@ def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules:
         touched = manifest.write_observed(sums.hint("rebalance", F.col(MONTH)), lake.moments, (manifest.LOAD, MONTH), {"months": F.collect_set(MONTH)}, "overwrite")["months"]
         if touched:
             every = tables.read_table(session, lake.moments).where((F.col(manifest.LOAD) <= load) & F.col(MONTH).isin(list(touched)))
-            publish_facts(session, lake, gold.hourly_from_moments(every.drop(manifest.LOAD, MONTH), zones, rules), sorted(touched))
+            with scratch_scope(session):
+                publish_facts(session, lake, gold.hourly_from_moments(every.drop(manifest.LOAD, MONTH), zones, rules), sorted(touched))
 
     return step
 

@@ -169,3 +169,14 @@ def test_variants_of_changing_types_keep_their_values(spark):
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", F.parse_json("t").alias("v")).write.parquet(path)
     rows = spark.read.parquet(path).select("i", F.try_variant_get("v", "$.x", "string").alias("x"), F.try_variant_get("v", "$.y.z[1]", "string").alias("z")).collect()
     assert {r["i"]: r["x"] for r in rows} == {i: None if i % 3 == 2 else str(i) for i in range(60)} and {r["z"] for r in rows} == {"two"}
+
+
+def test_a_run_leaves_no_scratch(spark, sf_dir):
+    from faremill.session import scratch_root
+
+    raw = materialise(inputs.raw_trips(spark, sf_dir).filter(F.col("_batch_id") == "2024-01"), "raw")
+    zones, lake = materialise(inputs.zones(spark, sf_dir), "zones"), Lake(scratch_path(spark, "lake"))
+    folder = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert run_month(spark, lake, raw, zones, expected=["2024-01"]) == ["2024-01"]
+    assert set(os.listdir(folder)) - before == {os.path.basename(lake.root)} and tables.read_table(spark, lake.daily).count() > 0
