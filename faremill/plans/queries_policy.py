@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ..operators import marts, policy
+from ..operators import marts, policy, synthetic
 from ..schema import PolicySpec
 from ..session import materialise, scratch_path
 from ..sources import tables
@@ -139,6 +139,40 @@ def _clustered(spark, sf_dir):
     return spark.createDataFrame(out, "term string, beta double, clustered_error double, clustered_p_value double, plain_p_value double")
 
 
+_WEEKS = (
+    ", w AS (SELECT pu_location_id, treated, CAST(date_trunc('week', pickup_date) AS DATE) AS week, CAST(sum(trip_count) AS DOUBLE) AS value FROM study"
+    " WHERE date_trunc('week', pickup_date) <> DATE '2024-12-30' GROUP BY ALL),"
+    " whole AS (SELECT pu_location_id FROM w GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT week) FROM w)),"
+    " series AS (SELECT * FROM w WHERE pu_location_id IN (SELECT pu_location_id FROM whole))"
+)
+
+
+@register("synthetic_gap", oracle.sql(
+    f"{_WEEKS}, given AS (SELECT pu_location_id, (pu_location_id % 3 + 1) * 1.0E0 / (SELECT sum(pu_location_id % 3 + 1) FROM (SELECT DISTINCT pu_location_id FROM series WHERE treated = 0)) AS weight"
+    " FROM (SELECT DISTINCT pu_location_id FROM series WHERE treated = 0))"
+    " SELECT strftime(week, '%Y-%m-%d') AS week, week >= DATE '2025-01-05' AS post, " + half_up("treated", 4) + " AS treated, " + half_up("synthetic", 4) + " AS synthetic, " + half_up("treated - synthetic", 4) + " AS gap"
+    " FROM (SELECT week, sum(CASE WHEN treated = 1 THEN value END) / count(CASE WHEN treated = 1 THEN 1 END) AS treated, sum(CASE WHEN treated = 0 THEN value * weight END) AS synthetic"
+    " FROM series LEFT JOIN given USING (pu_location_id) GROUP BY week)", "study"))
+def _synthetic_gap(spark, sf_dir):
+    """Weekly gap between the treated zones and a mix of the others with given weights."""
+    series = synthetic.weekly_series(policy.study_rows(_daily(spark, sf_dir), RUN_DATE), "trip_count")
+    donors = series.where("treated = 0").select("pu_location_id").distinct().withColumn("share", (F.col("pu_location_id") % 3 + 1).cast("double"))
+    weights = donors.select("pu_location_id", (F.col("share") / donors.agg(F.sum("share")).scalar()).alias("weight"))
+    return rounded(synthetic.gap_series(series, weights), ["treated", "synthetic", "gap"], 4)
+
+
+@register("synthetic_weights", oracle.sql(
+    f"{_WEEKS} SELECT count(DISTINCT pu_location_id) AS donors, 1.0E0 AS total, true AS none_negative, true AS nearer_than_equal_weights FROM series WHERE treated = 0", "study"))
+def _synthetic_weights(spark, sf_dir):
+    """Fitted weights: what they must be, and that they follow the treated series better than equal ones."""
+    series = materialise(synthetic.weekly_series(policy.study_rows(_daily(spark, sf_dir), RUN_DATE), "trip_count"), "weekly")
+    weights = synthetic.donor_weights(series)
+    equal = weights.withColumn("weight", 1 / weights.agg(F.count(F.lit(1))).scalar())
+    error = lambda w: synthetic.gap_series(series, w).where("not post").agg(F.sum(F.col("gap") * F.col("gap"))).scalar()
+    return weights.agg(
+        F.count(F.lit(1)).alias("donors"), F.round(F.sum("weight"), 9).alias("total"), (F.min("weight") >= 0).alias("none_negative"), F.first(error(weights) <= error(equal)).alias("nearer_than_equal_weights"))
+
+
 @register("did_robustness")
 def _robustness(spark, sf_dir):
     """Placebo date a year earlier on pre-policy rows, and the fit without one control borough."""

@@ -247,3 +247,48 @@ def test_early_stop_keeps_a_prefix_of_the_trees(table):
 def test_monitoring_goes_on_without_a_baseline(spark):
     drift = monitoring.drift_summary(monitoring.feature_drift(spark.range(3).selectExpr("id AS a"), spark.createDataFrame([], forecast._BASELINE), ["a"]))
     assert drift.first()[:] == ("", 0)
+
+
+def test_simplex_least_squares_against_all_supports():
+    """The best weights are least squares on some set of donors: compared with all sets."""
+    from itertools import combinations
+
+    from faremill.operators import synthetic
+
+    rng = np.random.default_rng(5)
+    for trial in range(12):
+        a, b = rng.normal(0, 1, (9, 5)), rng.normal(0, 1, 9)
+        best = math.inf
+        for size in range(1, 6):
+            for chosen in combinations(range(5), size):
+                part = a[:, chosen]
+                system = np.block([[part.T @ part, np.ones((size, 1))], [np.ones((1, size)), np.zeros((1, 1))]])
+                w = np.linalg.lstsq(system, np.append(part.T @ b, 1.0), rcond=None)[0][:-1]
+                if (w >= -1e-12).all():
+                    best = min(best, float(((part @ w - b) ** 2).sum()))
+        w = synthetic.simplex_least_squares(a, b)
+        assert (w >= 0).all() and w.sum() == pytest.approx(1) and float(((a @ w - b) ** 2).sum()) == pytest.approx(best, rel=1e-6)
+    assert synthetic.on_simplex(np.array([0.2, 0.3])).tolist() == pytest.approx([0.45, 0.55])
+
+
+def test_synthetic_control_finds_the_mix_and_the_effect(spark):
+    from faremill.operators import synthetic
+
+    rng = np.random.default_rng(6)
+    level = {}
+
+    def value(z, d, treated):
+        week = d.toordinal() // 7
+        return level.setdefault((z, week), int(rng.integers(50, 200)))
+
+    rows, _ = study(spark, value)
+    series = synthetic.weekly_series(rows, "trip_count").collect()
+    donors = sorted({r.pu_location_id for r in series if r.treated == 0})
+    mix = dict(zip(donors, [0.7, 0.3] + [0.0] * len(donors)))
+    by = {(r.pu_location_id, r.week): r.value for r in series}
+    made = [(r.pu_location_id, r.treated, r.week, r.value if r.treated == 0 else sum(w * by[z, r.week] for z, w in mix.items()) + 40.0 * (r.week >= SPEC.effective)) for r in series]
+    frame = spark.createDataFrame(made, "pu_location_id int, treated int, week date, value double")
+    weights = {r.pu_location_id: r.weight for r in synthetic.donor_weights(frame).collect()}
+    assert all(weights[z] == pytest.approx(w, abs=1e-4) for z, w in mix.items() if z in weights)
+    gaps = synthetic.gap_series(frame, synthetic.donor_weights(frame)).collect()
+    assert all(g.gap == pytest.approx(40.0 if g.post else 0.0, abs=0.5) for g in gaps) and {g.post for g in gaps} == {True, False}
