@@ -82,9 +82,7 @@ def _weekday_entry(spec: PolicySpec) -> Column:
     return _entry(F.concat(F.lit("dow_"), F.col(spec.weekday)), (F.col(spec.weekday) != WEEKDAYS[0]).cast("int"))
 
 
-def effect_cells(rows: DataFrame, outcome: str, spec: PolicySpec = PolicySpec()) -> DataFrame:
-    """Cells of the pre/post design with their regressor values."""
-    cells = _cells(rows, outcome, [spec.key, "treated", "post", spec.weekday])
+def _effect_regressors(cells: DataFrame, spec: PolicySpec) -> DataFrame:
     x = F.array(
         _entry(_CONST, F.lit(1)), _entry("post", F.col("post")), _entry(INTERACTION, F.col("post") * F.col("treated")),
         _weekday_entry(spec),
@@ -92,6 +90,27 @@ def effect_cells(rows: DataFrame, outcome: str, spec: PolicySpec = PolicySpec())
     return cells.withColumn("_x", F.filter(x, lambda e: e["value"] != 0))
 
 
+def effect_cells(rows: DataFrame, outcome: str, spec: PolicySpec = PolicySpec()) -> DataFrame:
+    """Cells of the pre/post design with their regressor values."""
+    return _effect_regressors(_cells(rows, outcome, [spec.key, "treated", "post", spec.weekday]), spec)
+
+
+def effect_cube(rows: DataFrame, outcomes: Sequence[str], spec: PolicySpec = PolicySpec()) -> DataFrame:
+    """Cells of the pre/post design with the moments of several outcomes, written once: one pass over the rows."""
+    moments = []
+    for o in outcomes:
+        y = F.col(o).cast("double")
+        moments += [F.sum(y).alias(f"_sy_{o}"), F.sum(y * y).alias(f"_syy_{o}")]
+    cells = rows.groupBy(spec.key, "treated", "post", spec.weekday).agg(F.count(F.lit(1)).cast("double").alias("_n"), *moments)
+    return materialise(cells, "policy-cube")
+
+
+def cells_of(cube: DataFrame, outcome: str, spec: PolicySpec = PolicySpec()) -> DataFrame:
+    """The cells of one outcome, as :func:`effect_cells` has them."""
+    own = cube.select(spec.key, "treated", "post", spec.weekday, "_n", F.col(f"_sy_{outcome}").alias("_sy"), F.col(f"_syy_{outcome}").alias("_syy"))
+    return _effect_regressors(own, spec)
+
+
 def event_cells(rows: DataFrame, outcome: str, spec: PolicySpec = PolicySpec()) -> DataFrame:
     """Cells of the month-by-month design; the last month before the policy is the reference."""
     reference = month_start(spec.effective, 1).strftime("%Y-%m")
@@ -310,11 +329,11 @@ def without_control(spec: PolicySpec, borough: str) -> PolicySpec:
 def impact_table(daily: DataFrame, run_date: date, spec: PolicySpec = PolicySpec()) -> DataFrame:
     """Zone-period averages with the run's coefficients attached to every row."""
     rows = study_rows(daily, run_date, spec)
-    n_zones = zone_count(rows, spec)
+    cube = effect_cube(rows, ("trip_count", "total_revenue"), spec)
+    n_zones = zone_count(cube, spec)
     if n_zones == 0:
         raise ValueError(f"no daily rows before {run_date}")
-    trips = fit_effect(rows, "trip_count", n_zones, spec)
-    revenue = fit_effect(rows, "total_revenue", n_zones, spec)
+    trips, revenue = (solve(cross_products(cells_of(cube, o, spec), spec), n_zones) for o in ("trip_count", "total_revenue"))
     (b_trips, p_trips), (b_revenue, p_revenue) = trips.effect(), revenue.effect()
     constants = {
         "did_trip_count": b_trips,

@@ -109,9 +109,10 @@ def _coefficients(spark, fits):
 @register("did_fit")
 def _fit(spark, sf_dir):
     """Two-way fixed-effects estimate for both outcomes."""
-    rows = policy.study_rows(_daily(spark, sf_dir), RUN_DATE)
-    n = policy.zone_count(rows)
-    return _coefficients(spark, [(o, policy.fit_effect(rows, o, n)) for o in ("trip_count", "total_revenue")])
+    outcomes = ("trip_count", "total_revenue")
+    cube = policy.effect_cube(policy.study_rows(daily_of(spark, sf_dir), RUN_DATE), outcomes)
+    n = policy.zone_count(cube)
+    return _coefficients(spark, [(o, policy.solve(policy.cross_products(policy.cells_of(cube, o)), n)) for o in outcomes])
 
 
 def _scores_sql() -> str:
@@ -248,6 +249,20 @@ def _summary(spark, sf_dir):
     return policy.borough_summary(_impact(spark, sf_dir)).drop("did_beta_trip_count", "did_p_value")
 
 
+@register("borough_coefficients", oracle.sql(
+    _runs_sql() + "SELECT borough, period, is_treated, strftime(run_date, '%Y-%m-%d') AS run_date, total_avg_daily_trips,"
+    " month(run_date) * 0.25E0 AS did_beta_trip_count, 1.0E0 / month(run_date) AS did_p_value FROM summary", "study"))
+def _summary_coefficients(spark, sf_dir):
+    """The borough summary with its coefficients, of runs whose coefficients are given."""
+    daily = _daily(spark, sf_dir)
+    runs = None
+    for run in RUNS:
+        given = {"did_trip_count": run.month * 0.25, "did_revenue": 0.0, "p_value_trip_count": 1 / run.month, "p_value_revenue": 0.0, "r2_trip_count": 1.0, "r2_revenue": 1.0}
+        rows = policy.zone_periods(policy.study_rows(daily, run)).withColumns({k: F.lit(v) for k, v in given.items()}).withColumn("_run_date", F.lit(run))
+        runs = rows if runs is None else runs.unionByName(rows)
+    return policy.borough_summary(runs).drop("total_avg_daily_revenue")
+
+
 @register("latest_pre_post", oracle.sql(
     _runs_sql() + "SELECT strftime(run_date, '%Y-%m-%d') AS run_date, borough, max(total_avg_daily_trips) FILTER (WHERE period = 'pre') AS pre,"
     " max(total_avg_daily_trips) FILTER (WHERE period = 'post') AS post FROM summary WHERE run_date = (SELECT max(run_date) FROM summary) GROUP BY summary.run_date, borough", "study"))

@@ -163,6 +163,9 @@ def test_fit_equals_dense_least_squares(spark):
         assert fit.effect()[0] == pytest.approx(beta, rel=1e-8)
         assert fit.effect()[1] == pytest.approx(policy.student_t_two_sided(t, dof), rel=1e-6)
         assert fit.r_squared == pytest.approx(r2, rel=1e-9)
+        cube = policy.effect_cube(rows, ("trip_count", "total_revenue"))
+        assert policy.zone_count(cube) == n
+        assert policy.solve(policy.cross_products(policy.cells_of(cube, outcome)), n).effect() == pytest.approx(fit.effect(), rel=1e-9)
 
 
 def test_clustered_errors_equal_a_dense_sandwich(spark):
