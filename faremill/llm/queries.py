@@ -277,3 +277,41 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = compare_edits(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query(
+    "quality_base_rules",
+    r"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lined AS (SELECT row, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+windows AS (SELECT row, i, array_to_string(w[i + 1:i + 8], ' ') AS g FROM (SELECT row, w, unnest(range(0, len(w) - 7)) AS i FROM texts WHERE len(w) >= 8)),
+again AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, g) > 1),
+covered AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + 8)) AS place FROM again) GROUP BY row),
+counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts JOIN lined USING (row) LEFT JOIN covered c USING (row))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+""",
+)
+def base_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed checks of op10, which SQL can express."""
+    return op10(spark, sf_dir).drop("kept", "score")
+
+
+@query(
+    "url_fixed_rules",
+    r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fits AS (SELECT row, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict FROM split JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p) GROUP BY row)
+SELECT page_id, host, path, rule, verdict FROM split LEFT JOIN fits USING (row)
+""",
+)
+def fixed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op6 decides by fixed rules, which SQL can express; the verdict is null where the mined rules decide."""
+    judged = op6(spark, sf_dir)
+    return judged.withColumn("verdict", F.when(F.col("rule").isNotNull(), F.col("verdict")))
