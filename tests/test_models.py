@@ -295,3 +295,17 @@ def test_synthetic_control_finds_the_mix_and_the_effect(spark):
     assert all(weights[z] == pytest.approx(w, abs=1e-4) for z, w in mix.items() if z in weights)
     gaps = synthetic.gap_series(frame, synthetic.donor_weights(frame)).collect()
     assert all(g.gap == pytest.approx(40.0 if g.post else 0.0, abs=0.5) for g in gaps) and {g.post for g in gaps} == {True, False}
+
+
+def test_matrix_gate_does_not_count_vendors(spark):
+    """Every zone-hour served by six vendors: the matrix has a row a zone and hour, and passes its gate."""
+    from faremill.operators.quality import require_matrix
+    from faremill.plans.queries_models import _least_rows
+
+    hours = spark.range(400).select(F.expr("CAST(TIMESTAMP_NTZ '2025-04-20 00:00:00' + make_dt_interval(0, CAST(id AS INT)) AS TIMESTAMP_NTZ)").alias("pickup_hour"))
+    hourly = hours.crossJoin(spark.range(3).selectExpr("CAST(id AS INT) AS pu_location_id")).crossJoin(spark.range(6).selectExpr("id AS vendor_id"))
+    hourly = hourly.withColumns({"pickup_borough": F.lit("Queens"), "trip_count": F.lit(2).cast("bigint"), "total_congestion_fees": F.lit(0.5)})
+    run = date(2025, 7, 5)
+    matrix = forecast.training_matrix(hourly, run)
+    require_matrix(matrix, date(2025, 3, 31), date(2025, 4, 1), min_rows=_least_rows(hourly))
+    assert matrix.count() == 3 * (400 - 168) and _least_rows(hourly) == 300
