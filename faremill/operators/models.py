@@ -10,13 +10,14 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import zip_longest
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from ..schema import FEATURES, TARGET
 from .evaluation import error_metrics, naive_week_lag
 
 SEED = 42
+#: Fits that run at the same time.
+MOST_AT_ONCE = 6
 _LABEL, _RAW, _VECTOR = "_label", "_raw_prediction", "_features"
 # Fixed value: rows of the importance report.
 TOP_FEATURES = 20
@@ -53,18 +56,42 @@ class ModelSpec:
         rows = rows_of(train)
         learner = self.estimator(rows)
         ready = assembler.transform(rows)
-        model = learner.fit(ready)
         if self.patience and val is not None and not val.isEmpty():
-            errors = model.evaluateEachIteration(assembler.transform(rows_of(val)), "squared")
-            best = best_round(errors, self.patience)
-            if best < len(errors):
-                # The same seed grows the same trees again: a shorter fit is a prefix of the long one.
-                model = learner.copy({learner.maxIter: best}).fit(ready)
+            model = stopped_early(learner, ready, assembler.transform(rows_of(val)), self.patience)
+        else:
+            model = learner.fit(ready)
         out = self.output_sql.format(raw=_RAW)
         shown = SQLTransformer(statement=f"SELECT *, {out} AS prediction FROM __THIS__")
         return FittedModel(self.model_type, PipelineModel([assembler, model, shown]), self.features, self.target)
 
 
+def stopped_early(learner: GBTRegressor, train: DataFrame, val: DataFrame, patience: int) -> GBTRegressionModel:
+    """The trees up to the best validation round.
+
+    Each round has a seed of its own, so a short fit is a prefix of a long one: the long fit is only grown if the best
+    round of the short one may still be beaten within the patience.
+    """
+    most = learner.getMaxIter()
+    for rounds in sorted({min(patience + 1, most), most}):
+        model = learner.copy({learner.maxIter: rounds}).fit(train)
+        best = best_round(model.evaluateEachIteration(val, "squared"), patience)
+        if best + patience <= rounds:
+            break
+    return first_trees(model, best) if best < rounds else model
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model's first ``n`` trees: what a fit of ``n`` rounds with the same seed grows."""
+    old, jvm = model._java_obj, SparkContext._active_spark_context._jvm
+    kind = jvm.org.apache.spark.ml.regression
+    trees = SparkContext._gateway.new_array(kind.DecisionTreeRegressionModel, n)
+    weights = SparkContext._gateway.new_array(jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(model.trees[:n], model.treeWeights[:n], strict=True)):
+        trees[i], weights[i] = tree._java_obj, weight
+    short = GBTRegressionModel(kind.GBTRegressionModel(old.uid(), trees, weights))
+    return short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def best_round(errors: Sequence[float], patience: int) -> int:
     """Number of rounds up to the smallest validation error, looking no further than ``patience`` rounds past it."""
     best = 0
@@ -93,7 +120,8 @@ class FittedModel:
     def importances(self, spark: SparkSession, top: int = TOP_FEATURES) -> DataFrame:
         """Gain share per feature, largest first (one row per model input)."""
         weights = self.pipeline.stages[1].featureImportances.toArray()
-        pairs = [(f, float(w)) for f, w in zip(self.features, weights)]
+        # A vector of trees alone ends with the last feature they split on.
+        pairs = [(f, float(w)) for f, w in zip_longest(self.features, weights, fillvalue=0.0)]
         table = spark.createDataFrame(pairs, "feature string, importance double")
         return table.orderBy(F.col("importance").desc(), "feature").limit(top)
 
@@ -163,16 +191,22 @@ def compare_models(specs: Sequence[ModelSpec], train: DataFrame, val: DataFrame,
 
 def ablation(sets: Mapping[str, Sequence[str]], make: Callable[[Sequence[str]], ModelSpec], train: DataFrame, val: DataFrame, test: DataFrame) -> list[dict]:
     """One fit per feature subset; subsets with unknown columns are skipped."""
-    fits: dict[tuple[str, ...], float] = {}
-    out = []
-    for name, subset in sets.items():
-        subset = tuple(subset)
-        if not set(subset) <= set(train.columns):
-            continue
-        if subset not in fits:  # two of the subsets are equal today
-            fits[subset] = error_metrics(make(subset).fit(train, val).predict(test)).first().mape
-        out.append({"variant": name, "n_features": len(subset), "test_mape": fits[subset]})
-    return out
+    known = {name: tuple(subset) for name, subset in sets.items() if set(subset) <= set(train.columns)}
+    distinct = list(dict.fromkeys(known.values()))  # two of the subsets are equal today
+
+    def error(subset: tuple[str, ...]) -> float:
+        return error_metrics(make(subset).fit(train, val).predict(test)).first().mape
+
+    fits = dict(zip(distinct, at_once(train.sparkSession, error, distinct), strict=True))
+    return [{"variant": name, "n_features": len(subset), "test_mape": fits[subset]} for name, subset in known.items()]
+
+
+def at_once(spark: SparkSession, run: Callable, items: Sequence) -> list:
+    """``run`` of each item, as concurrent Spark jobs: a fit is many short jobs that leave most cores idle alone."""
+    if not items:
+        return []
+    with ThreadPool(min(len(items), MOST_AT_ONCE)) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), list(items), 1)
 
 
 # Search ranges, expressed with MLlib's parameters.
@@ -202,7 +236,7 @@ def search_trials(n: int, seed: int = SEED) -> list[dict]:
     return trials
 
 
-def search(trials: Sequence[dict], train: DataFrame, val: DataFrame, test: DataFrame, parallelism: int = 2, **fixed) -> list[dict]:
+def search(trials: Sequence[dict], train: DataFrame, val: DataFrame, test: DataFrame, **fixed) -> list[dict]:
     """Fit all trials and rank them by validation error; the test error is only reported.
 
     The trials run as concurrent Spark jobs on the same saved matrix.
@@ -214,9 +248,7 @@ def search(trials: Sequence[dict], train: DataFrame, val: DataFrame, test: DataF
         val_m, test_m = error_metrics(model.predict(val)).first(), error_metrics(model.predict(test)).first()
         return {"trial": number, "val_mape": val_m.mape, "test_mape": test_m.mape} | {k: float(v) for k, v in params.items()}
 
-    spark = train.sparkSession
-    with ThreadPool(parallelism) as pool:
-        results = pool.map(inheritable_thread_target(spark)(run), list(enumerate(trials)))
+    results = at_once(train.sparkSession, run, list(enumerate(trials)))
     return sorted(results, key=lambda r: (r["val_mape"], r["trial"]))
 
 

@@ -309,3 +309,23 @@ def test_matrix_gate_does_not_count_vendors(spark):
     matrix = forecast.training_matrix(hourly, run)
     require_matrix(matrix, date(2025, 3, 31), date(2025, 4, 1), min_rows=_least_rows(hourly))
     assert matrix.count() == 3 * (400 - 168) and _least_rows(hourly) == 300
+
+
+def test_a_fit_stops_growing_once_its_best_round_is_known(spark, table, monkeypatch):
+    """Trees of noise get worse from the start: no round beyond the patience is grown, and the saved model keeps its trees."""
+    from pyspark.ml.regression import GBTRegressor
+
+    grown, fit = [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, df: grown.append(self.getMaxIter()) or fit(self, df))
+    noise = table.withColumn("trip_count", F.abs(F.hash("k")) % 50)
+    train, val = noise.filter("k % 4 <> 0"), noise.filter("k % 4 = 0")
+    spec = replace(models.boosted_raw(NAMES, maxIter=30, maxDepth=5, minInstancesPerNode=1, stepSize=1.0), patience=4)
+    model = spec.fit(train, val)
+    best = model.pipeline.stages[1].getNumTrees
+    assert best + 4 <= 5 and grown == [5]
+    long = replace(spec, patience=None).fit(train, val).pipeline.stages[1]
+    assert [t.toDebugString.split("\n", 1)[1] for t in long.trees[:best]] == [t.toDebugString.split("\n", 1)[1] for t in model.pipeline.stages[1].trees]
+    path = scratch_path(spark, "short")
+    model.save(path)
+    a, b = ([r.prediction for r in m.predict(val).orderBy("k").collect()] for m in (model, models.load_model(path)))
+    assert a == b and {r.feature for r in model.importances(spark).collect()} == set(NAMES)
