@@ -13,7 +13,7 @@ from ..functions.calendar import month_text
 from ..functions.numeric import exact_sum, round_half_up
 from ..operators import gold, silver
 from ..operators.quality import DataQualityError
-from ..session import materialise, scratch_path
+from ..session import materialise, scratch_path, unsorted_writes
 from ..sources import bronze, manifest, months, seeds, tables
 from ..sources.bucketed import BucketedTable
 from . import inputs, oracle
@@ -120,7 +120,8 @@ def _manifest(spark, sf_dir):
     early = (F.col("_batch_id") < "2024-10") & (F.col("_batch_id") != "2024-05")
     for lot in (early, ~early, None):
         if lot is not None:
-            raw.where(lot).repartition("_batch_id").write.mode("append").partitionBy("_batch_id").parquet(f"{root}/in")
+            with unsorted_writes(spark):
+                raw.where(lot).repartition("_batch_id").write.mode("append").partitionBy("_batch_id").parquet(f"{root}/in")
         steps.append(materialise(manifest.load_files(spark, book, lake.bronze, f"{root}/in", schema, _batch_of_file()), "step"))
     raw.limit(5).withColumns({manifest.LOAD: F.lit("crashed"), manifest.REJECT: F.lit(None).cast("string"), "_source_file": F.lit("x"), "_ingested_at": F.current_timestamp().cast("timestamp_ntz")}).write.mode("append").partitionBy(manifest.LOAD, "_batch_id").parquet(lake.bronze)
     first, second, third = steps
@@ -147,7 +148,8 @@ def _bad_records(spark, sf_dir):
     events = inputs.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     line = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "value": oops'))).otherwise(F.to_json(F.struct(*events.columns)))
     lines = events.select(line.alias("value"), F.date_format("ts", "yyyy-MM").alias("_batch_id"))
-    lines.repartition("_batch_id").write.partitionBy("_batch_id").text(f"{root}/in")
+    with unsorted_writes(spark):
+        lines.hint("rebalance", F.col("_batch_id")).write.partitionBy("_batch_id").text(f"{root}/in")
     out = None
     for mode in ("abort", "quarantine"):
         lake = Lake(f"{root}/{mode}")

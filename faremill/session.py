@@ -52,6 +52,22 @@ def scratch_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+#: Partitions that a task writes at the same time without sorting its rows by them first; beyond that it sorts the rest.
+MOST_WRITERS = 24
+_WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside stream each row to its partition's file: a task holds file buffers, not its rows."""
+    before = spark.conf.get(_WRITERS_CONF, "0")
+    spark.conf.set(_WRITERS_CONF, str(MOST_WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS_CONF, before)
+
+
 _open_scopes: list[list[str]] = []
 
 
@@ -89,7 +105,8 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     path = scratch_path(spark, label)
     if partition_by:
         # Few files a partition, whatever the number of tasks; an oversized partition is split.
-        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
+        with unsorted_writes(spark):
+            df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
     else:
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import DataQualityError
-from ..session import materialise
+from ..session import materialise, unsorted_writes
 from . import tables
 
 LOAD = "_load"
@@ -56,7 +56,8 @@ def write_observed(df: DataFrame, path: str, partition_by: Sequence[str], metric
     writer = df.observe(seen, *[c.alias(n) for n, c in metrics.items()]).write.mode(mode)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
+    with unsorted_writes(df.sparkSession):
+        writer.partitionBy(*partition_by).parquet(path)
     return seen.get
 
 
