@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,15 +54,23 @@ def _with_key(df: DataFrame, fields: dict[str, Column], rules: TripRules) -> Dat
     fields = dict(fields)
     # Tips are recorded for card payments only.
     fields["tip_amount"] = F.when(fields["payment_type"] == rules.card_payment, fields["tip_amount"])
-    vendor, pickup, zone = (fields[k] for k in rules.trip_id_parts)
-    trip_id = surrogate_key(vendor, epoch_micros(pickup), zone).alias("trip_id")
     return df.select(
-        trip_id,
+        _trip_id(fields, rules),
         *[expr.alias(name) for name, expr in fields.items()],
         *[c for c in AUDIT_COLUMNS if c in df.columns],
     )
 
 
+def _trip_id(fields: Mapping[str, Column], rules: TripRules) -> Column:
+    vendor, pickup, zone = (fields[k] for k in rules.trip_id_parts)
+    return surrogate_key(vendor, epoch_micros(pickup), zone).alias("trip_id")
+
+
+def with_trip_id(typed: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+    """Typed rows led by their key, worked out from their columns as for a scan."""
+    return typed.select(_trip_id({k: F.col(k) for k in rules.trip_id_parts}, rules), *[c for c in typed.columns if c != "trip_id"])
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], newest_by: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key: the newest, ties settled by ``tiebreak``.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,8 +116,10 @@ def refresh_silver(spark: SparkSession, lake: Lake, months: list[str], rules: Tr
         return
     source = manifest.landed(spark, book_of(spark, lake), lake.bronze, months)
     own = replace(rules, dedup_keys=("_batch_id", *rules.dedup_keys))
-    rows = _tested(silver.build_silver(silver.typed_from_columns(source, own), own), "silver", "trip_id", quality.SILVER_NOT_NULL, "_batch_id")
-    tables.replace_listed(spark, rows, lake.silver, "_batch_id", months)
+    # A trip's id follows from its columns and hardly compresses, so it is worked out after the last shuffle.
+    kept = silver.build_silver(silver.typed_from_columns(source, own).drop("trip_id"), own)
+    rows = _tested(kept, "silver", "trip_id", quality.SILVER_NOT_NULL, "_batch_id", lambda df: silver.with_trip_id(df, own))
+    tables.replace_listed(spark, rows, lake.silver, "_batch_id", months, arranged=True)
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, zones: DataFrame, months: list[str], rules: TripRules = TripRules()) -> None:
@@ -136,20 +138,23 @@ def publish_facts(spark: SparkSession, lake: Lake, hourly: DataFrame, months: li
     """Test and publish the hourly rows of whole months, and the daily fact that follows from them."""
     hourly = _tested(gold.with_month(hourly, "pickup_hour", MONTH), "hourly", "fct_id", quality.HOURLY_NOT_NULL, MONTH)
     daily = _tested(gold.with_month(gold.build_daily(hourly.drop(MONTH)), "pickup_date", MONTH), "daily", "fct_id", quality.DAILY_NOT_NULL, MONTH)
-    tables.replace_listed(spark, hourly, lake.hourly, MONTH, months)
-    tables.replace_listed(spark, daily, lake.daily, MONTH, months)
+    tables.replace_listed(spark, hourly, lake.hourly, MONTH, months, arranged=True)
+    tables.replace_listed(spark, daily, lake.daily, MONTH, months, arranged=True)
 
 
-def _tested(df: DataFrame, name: str, key: str, not_null: Sequence[str], partition_by: str) -> DataFrame:
+def _tested(df: DataFrame, name: str, key: str, not_null: Sequence[str], partition_by: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Write a layer to scratch and pass it through its gate; returns the written rows.
 
-    The NULL counts come from the write itself. Only the key column is read again, for its repeats.
+    The NULL counts come from the write itself. Only the key column is read again, for its repeats. ``finish`` adds
+    columns to the rows once they have been shuffled to their partition.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     nulls = {c: F.count_if(F.col(c).isNull()) for c in not_null}
-    counted = manifest.write_observed(df.hint("rebalance", F.col(partition_by)), path, (partition_by,), nulls)
-    rows = spark.read.schema(df.schema).parquet(path)
+    out = df.hint("rebalance", F.col(partition_by))
+    out = finish(out) if finish else out
+    counted = manifest.write_observed(out, path, (partition_by,), nulls)
+    rows = spark.read.schema(out.schema).parquet(path)
     tests = spark.createDataFrame([(name, c, "not_null", counted[c]) for c in not_null], "table_name string, column_name string, check_name string, failures long")
     quality.require_clean(tests.unionByName(quality.unique_failures(rows, name, key)))
     return rows

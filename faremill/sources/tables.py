@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialise
+from ..session import materialise, unsorted_writes
 
 _TYPES = {
     "text": T.StringType(),
@@ -96,22 +96,19 @@ def append(df: DataFrame, path: str, schema: T.StructType, partition_by: str | N
     writer.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: str, arranged: bool = False) -> None:
     """Replace exactly the partitions present in ``df``; running it twice changes nothing.
 
     Rows are shuffled to their partition value before the write so that each partition
     gets few files; the rebalance hint lets adaptive execution split an oversized one.
+    Rows read from a table with the same partitions are ``arranged`` already and are copied without a shuffle.
     """
-    (
-        df.hint("rebalance", F.col(partition_by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    rows = df if arranged else df.hint("rebalance", F.col(partition_by))
+    with unsorted_writes(df.sparkSession):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
 
 
-def replace_listed(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values: Sequence[str]) -> None:
+def replace_listed(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values: Sequence[str], arranged: bool = False) -> None:
     """Make the listed partitions hold exactly the rows of ``df``.
 
     A listed partition that ``df`` has no row of is emptied; a dynamic overwrite alone would leave its old
@@ -120,7 +117,7 @@ def replace_listed(spark: SparkSession, df: DataFrame, path: str, partition_by:
     left = touched_values(df, partition_by)
     old = touched_values(read_table(spark, path).filter(F.col(partition_by).isin(list(values))), partition_by) if exists(spark, path) else []
     if left or not exists(spark, path):
-        replace_partitions(df, path, partition_by)
+        replace_partitions(df, path, partition_by, arranged)
     for value in old:
         if value not in left:
             _empty_partition(spark, path, partition_by, value)

@@ -180,3 +180,22 @@ def test_a_run_leaves_no_scratch(spark, sf_dir):
     before = set(os.listdir(folder))
     assert run_month(spark, lake, raw, zones, expected=["2024-01"]) == ["2024-01"]
     assert set(os.listdir(folder)) - before == {os.path.basename(lake.root)} and tables.read_table(spark, lake.daily).count() > 0
+
+
+def test_partitioned_writes_and_publishing_sort_and_shuffle_no_rows(spark, tmp_path, monkeypatch):
+    """Rows go straight to their partition's file; a copy of a partitioned table is not shuffled; the setting is put back."""
+    from pyspark.sql import DataFrameWriter
+
+    setting, written, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def noted(self, path, *more, **how):
+        written.append((int(spark.conf.get(setting, "0")), self._df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, path, *more, **how)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    rows, before = spark.range(0, 4000, 1, 4).selectExpr("id AS k", "concat('2024-0', 1 + id % 3) AS m"), spark.conf.get(setting, "0")
+    first, copy = str(tmp_path / "first"), str(tmp_path / "copy")
+    assert manifest.write_observed(rows, first, ("m",), {"rows": F.count(F.lit(1))})["rows"] == 4000
+    tables.replace_listed(spark, tables.read_table(spark, first), copy, "m", ["2024-01", "2024-02", "2024-03"], arranged=True)
+    assert sorted(map(tuple, tables.read_table(spark, copy).collect())) == sorted(map(tuple, rows.collect()))
+    assert len(written) == 2 and all(n > 3 and "Rebalance" not in plan for n, plan in written) and spark.conf.get(setting, "0") == before
