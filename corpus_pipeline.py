@@ -29,9 +29,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     prepare(spark)
     model = quality.fit(quality.text_features(docs), table(spark, sf_dir, "labels"))
-    scored = quality.score(quality.text_features(docs, carry=COLUMNS), model)
-    kept = scored.where(F.col("score") >= quality.CUT)
-    return kept.select(*[F.col(f"carry_{i}").alias(c) for i, c in enumerate(COLUMNS)])
+    return _shaped(quality.score_texts(_shaped(docs), model).where(F.col("score") >= quality.CUT))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,6 +138,20 @@ def score(features: DataFrame, model: Model) -> DataFrame:
     return features.mapInArrow(run, f"id long, score double{extra}")
 
 
+def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` and each text's score; one Python worker a task works out features and score of a batch."""
+    at, names = docs.columns.index(text_col), [*docs.columns, "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                rows = [textstats.features(data, offsets).reshape(-1, textstats.FEATURES) for _, _, data, offsets in wordhash.slices(b.column(at))]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(np.concatenate(rows).astype(np.float64)))], names=names)
+
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in docs.schema.fields)
+    return docs.mapInArrow(run, f"{fields}score double")
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
     """Per document: id, held_out, score, predicted.
 

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline as pipeline
-from faremill.llm import mixing, queries, secrets
+from faremill.llm import mixing, quality, queries, secrets
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,6 +33,14 @@ def test_quality(stages, spark):
     assert sum(labels.get(i) == 1 for i in after) >= 0.97 * sum(labels.get(i) == 1 for i in before)
 
 
+def test_quality_needs_one_worker_a_task(stages, spark):
+    """A chain of two Python steps keeps two workers a task, with all they hold, for the stages that follow."""
+    plan = pipeline.quality_stage(spark, stages[0], SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    kept = {r["doc_id"] for r in quality.classify(stages[0], queries.table(spark, SF, "labels")).where("predicted = 1").collect()}
+    assert {r["doc_id"] for r in stages[1].collect()} == kept
+
+
 def test_near_duplicates(stages):
     from test_llm_operators import brute_components
 
