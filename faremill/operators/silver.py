@@ -93,17 +93,28 @@ def newer(a: str, b: str, newest_by: str, tiebreak: Sequence[str] = ()) -> Colum
     return before | (x(newest_by).eqNullSafe(y(newest_by)) & out)
 
 
-def changed_rows(new: DataFrame, old: DataFrame, keys: Sequence[str], newest_by: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+#: A row's key as one struct: never NULL itself, and structs with NULLs in the same places are equal.
+KEY = "_key"
+
+
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(KEY, F.struct(*keys))
+
+
+def changed_rows(new: DataFrame, old: DataFrame | None, keys: Sequence[str], newest_by: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """What new rows change in a table that keeps the newest row of each key.
 
-    ``old`` holds at most one row a key. For each key whose newest row is new, that row comes with ``sign`` 1 and the
-    one it replaces, if any, with -1. Keys that keep their row come not at all; NULL is a key like any other.
+    ``old`` holds at most one row a key; there is none for an empty table, and then nothing is joined. For each key
+    whose newest row is new, that row comes with ``sign`` 1 and the one it replaces, if any, with -1. Keys that keep
+    their row come not at all; NULL is a key like any other. Both sides meet by :data:`KEY`: rows that a window over
+    it has shuffled are joined where they are.
     """
+    if old is None:
+        return latest_by_key(new, keys, newest_by, tiebreak).withColumn("sign", F.lit(1))
     names = new.columns
-    left = latest_by_key(new, keys, newest_by, tiebreak).select(F.struct(*names).alias("new"))
-    right = old.select(F.struct(*names).alias("old"))
-    same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
-    wins = left.join(right, same, "left").where(F.col("old").isNull() | newer("new", "old", newest_by, tiebreak))
+    left = latest_by_key(keyed(new, keys), [KEY], newest_by, tiebreak).select(KEY, F.struct(*names).alias("new"))
+    right = (old if KEY in old.columns else keyed(old, keys)).select(KEY, F.struct(*names).alias("old"))
+    wins = left.join(right, KEY, "left").where(F.col("old").isNull() | newer("new", "old", newest_by, tiebreak))
     both = F.array(F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")), F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")))
     return wins.select(F.explode(F.filter(both, lambda c: c["row"].isNotNull())).alias("c")).select("c.row.*", "c.sign")
 

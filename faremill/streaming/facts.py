@@ -23,7 +23,7 @@ def _before(spark: SparkSession, path: str, load: str) -> DataFrame | None:
 
 
 def winners(spark: SparkSession, lake: Lake, load: str, months: Sequence[str], rules: TripRules, lo=None, hi=None) -> DataFrame | None:
-    """The newest copy of each trip of some months as of micro-batch ``load``, without it.
+    """The newest copy of each trip of some months as of micro-batch ``load``, without it, with its key; no trip ids.
 
     The log holds, of every micro-batch, the copies that became newest; the last entry of a key is its newest copy.
     Pickup limits are pushed to the scan, so micro-batches that cover little time read little.
@@ -34,7 +34,7 @@ def winners(spark: SparkSession, lake: Lake, load: str, months: Sequence[str], r
     near = log.where(F.col(BATCH).isin(list(months)) & (F.col("sign") == 1))
     if lo is not None:
         near = near.where(F.col(PICKUP).between(F.lit(lo), F.lit(hi)) | F.col(PICKUP).isNull())
-    return silver.latest_by_key(near, (BATCH, *rules.dedup_keys), manifest.LOAD).drop(manifest.LOAD, "sign")
+    return silver.latest_by_key(silver.keyed(near, (BATCH, *rules.dedup_keys)), [silver.KEY], manifest.LOAD).drop(manifest.LOAD, "sign")
 
 
 def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules: TripRules = TripRules()) -> Callable[[DataFrame, int], None]:
@@ -61,9 +61,9 @@ def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules:
             return
         book_of(session, lake).commit_written(lake.bronze, load, at)
         landed = manifest.folders(session, lake.bronze, [load]).drop(manifest.LOAD, manifest.REJECT)
-        new = silver.typed_from_columns(landed, rules)
+        # A trip's id follows from its columns and hardly compresses: no shuffle and no log carries it.
+        new = silver.typed_from_columns(landed, rules).drop("trip_id")
         old = winners(session, lake, load, seen["months"], rules, seen["lo"], seen["hi"])
-        old = new.limit(0) if old is None else old.select(*new.columns)
         changes = silver.changed_rows(new, old, keys, "_ingested_at", rules.dedup_tiebreak).withColumn(manifest.LOAD, F.lit(load))
         # A pickup outside its batch month is never accepted, so the batch months are the months of the facts.
         if not manifest.write_observed(changes.hint("rebalance", F.col(BATCH)), lake.winners, (manifest.LOAD, BATCH), {"rows": F.count(F.lit(1))}, "overwrite")["rows"]:
@@ -82,7 +82,7 @@ def gold_from_batches(spark: SparkSession, lake: Lake, zones: DataFrame, rules:
 def kept_trips(spark: SparkSession, lake: Lake, months: Sequence[str], rules: TripRules = TripRules()) -> DataFrame:
     """The cleaned trips of some months as the stream has them now: what a monthly run would have as silver."""
     rows = winners(spark, lake, "stream-~", months, rules)
-    return silver.quality_filter(rows, rules)
+    return silver.with_trip_id(silver.quality_filter(rows.drop(silver.KEY), rules), rules)
 
 
 def hourly_counts(events: DataFrame, time: str, key: Column, delay: str = "2 hours") -> DataFrame:

@@ -85,3 +85,25 @@ def test_changed_rows(spark):
     got = sorted((r["k"] or 0, r["sign"], r["v"]) for r in silver.changed_rows(new, old, ["k"], "at", ["tie"]).collect())
     assert got == [(0, -1, "n"), (0, 1, "known"), (1, -1, "a"), (1, 1, "newer"), (3, -1, "c"), (3, 1, "ties lower"), (4, 1, "second")]
     assert silver.changed_rows(old, old, ["k"], "at", ["tie"]).count() == 0 and TripRules().dedup_keys
+
+
+def test_changed_rows_shuffle_each_side_once(spark):
+    """The window over the log and the join share a shuffle; an empty log is not joined at all."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(100).selectExpr("CAST(id % 7 AS INT) AS k", "CAST(id AS INT) AS at", "1 AS tie", "'x' AS v")
+        old = silver.latest_by_key(silver.keyed(rows, ["k"]), [silver.KEY], "at")
+        shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert shuffles(silver.changed_rows(rows, old, ["k"], "at", ["tie"])) == 2
+        first = silver.changed_rows(rows, None, ["k"], "at", ["tie"])
+        assert shuffles(first) == 1 and sorted((r["k"], r["at"], r["sign"]) for r in first.collect()) == [(k, max(range(k, 100, 7)), 1) for k in range(7)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_log_has_no_trip_ids(spark, trips, whole):
+    lake = Lake(scratch_path(spark, "lake"))
+    facts.gold_from_batches(spark, lake, whole[0])(trips.filter("lot = 0").drop("lot"), 0)
+    assert "trip_id" not in tables.read_table(spark, lake.winners).columns
+    assert "trip_id" in facts.kept_trips(spark, lake, MONTHS).columns
