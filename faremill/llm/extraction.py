@@ -1,21 +1,26 @@
 """Main text of HTML pages: repeats across a host's pages, with markup as a help beside it.
 
 Blocks in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out. Of all others,
-those of articles included, the host decides. The token streams of a task's pages are concatenated and their suffixes
-sorted; neighbours whose common prefix (LCP) is ``RUN`` tokens or more are occurrences of one run. Runs found on
-at least ``LEAST_PAGES`` distinct pages of a host and on a share of ``SHARE`` of them are its boilerplate. Blocks
-that boilerplate covers for the most part go; unique ones stay, and so does what a host repeats on few of its
-pages. Where the marked regions hold at least half of what stays, they are the text, all of them; elsewhere the prose
-outside belongs to it. A block in a region that is shorter than ``RUN`` tokens is no long substring and stays.
+those of articles included, the host decides. Runs of ``RUN`` tokens found on at least ``LEAST_PAGES`` distinct pages
+of a host and on a share of ``SHARE`` of them are its boilerplate, and so is what stands around them on as many pages,
+or wherever they occur. These strings and a host's pages are concatenated and their suffixes sorted: the common
+prefix (LCP) of a page's suffix and its nearest string says how many tokens boilerplate covers from there. Blocks
+that it covers for the most part go; unique ones stay, and so does what a host repeats on few of its pages. Where the
+marked regions hold at least half of what stays, they are the text, all of them; elsewhere the prose outside belongs
+to it. A block in a region that is shorter than ``RUN`` tokens is no long substring and stays.
 
 Runs are counted across tasks by anchors: of every ``WINDOW`` neighbouring places of a block, the one of least
 hash. Equal substrings of ``RUN + WINDOW - 1`` tokens, and equal blocks, have the same anchors wherever they stand, so
-none is missed, while few places are shuffled. The host's repeated anchors are then sent to its pages. No task
-gathers a host: pairs of anchor and page are counted in two steps. Copies of a page count as one page.
+none is missed, while few places are shuffled. Pages that hold a repeated anchor tell its surroundings, up to the
+neighbouring anchors; in sorted order the first and the last of them share what all share. The host's strings are then
+sent to its pages, where blocks with a repeated anchor are matched. No task gathers a host: anchors and surroundings
+are counted in two steps. Copies of a page count as one page.
 """
 
 from __future__ import annotations
 
+import collections
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +35,8 @@ from .urlfilter import host
 
 #: Tokens of a long substring; places that share an anchor.
 RUN, WINDOW = 8, 13
+#: Tokens of an anchor's run and of the places between it and its neighbours, at most.
+REACH = RUN + 2 * (WINDOW - 1)
 #: What makes a run boilerplate: distinct pages of the host, and their share of them.
 LEAST_PAGES, SHARE = 3, 0.3
 COVERED = 0.5
@@ -142,30 +149,22 @@ def _page_ids(tokens: np.ndarray, stream: np.ndarray, count: int) -> np.ndarray:
 
 
 def _pairs(hosts: np.ndarray, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(host, anchor's hash, page's hash) of the runs of some pages, each once for a page.
-
-    Occurrences of a run are neighbours in the suffix array, with a common prefix of RUN tokens or of a whole block.
-    """
+    """(host, anchor's hash, page's hash) of the runs of some pages, each once for a page."""
     tokens, stream, _, owner = _streams(texts)
     pages = _page_ids(tokens, stream, len(texts))
     if not len(tokens):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), pages[:0]
-    order, lcp = suffix_array(tokens, owner)
-    left = np.searchsorted(owner, owner, "right") - np.arange(len(tokens))
-    whole = np.minimum(left[order], RUN)
-    new = np.ones(len(order), bool)
-    new[1:] = (lcp[1:] < whole[1:]) | (whole[1:] != whole[:-1])
-    run = np.empty(len(order), np.int64)
-    run[order] = np.cumsum(new)
     places, keys = anchors(tokens, owner)
-    # A run that several pages of the task share is one interval; of a page's occurrences one counts.
-    _, at = np.unique(np.stack([run[places], stream[places]]), axis=1, return_index=True)
-    of = stream[places[at]]
-    return hosts[of], keys[at].view(np.int64), pages[of]
+    of = stream[places]
+    order = np.lexsort((keys, of))
+    of, keys = of[order], keys[order]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])
+    return hosts[of[new]], keys[new].view(np.int64), pages[of[new]]
 
 
 def _repeats(pages: DataFrame) -> DataFrame:
-    """(host, keys): hashes of the anchors that are boilerplate; ``pages`` has host, packed and page."""
+    """(host, least, keys): pages that make boilerplate, hashes of the anchors on as many; ``pages`` has host, packed and page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -176,8 +175,80 @@ def _repeats(pages: DataFrame) -> DataFrame:
 
     pairs = pages.select("host", "packed").mapInArrow(run, "host long, key long, page long").distinct()
     held = pairs.groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    sizes = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    return held.join(sizes, "host").where(F.col("n") >= SHARE * F.col("pages")).groupBy("host").agg(F.collect_list("key").alias("keys"))
+    sizes = pages.select("host", "page").distinct().groupBy("host").agg(F.greatest(F.lit(float(LEAST_PAGES)), SHARE * F.count("*")).alias("least"))
+    return held.join(sizes, "host").where(F.col("n") >= F.col("least")).groupBy("host", "least").agg(F.collect_list("key").alias("keys"))
+
+
+def surroundings(places: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end place of the tokens around each anchor: those in which neither neighbour's run is whole."""
+    of = owner[places]
+    begin, end = np.searchsorted(owner, of), np.searchsorted(owner, of, "right")
+    inner = of[1:] == of[:-1]
+    begin[1:][inner], end[:-1][inner] = places[:-1][inner] + 1, places[1:][inner] + RUN - 1
+    return begin, end
+
+
+def _joined(before: bytes, after: bytes) -> bytes:
+    return np.concatenate([np.frombuffer(before, np.uint64)[::-1], np.frombuffer(after, np.uint64)]).tobytes()
+
+
+def _shared(a: bytes, b: bytes) -> bytes:
+    """The tokens that two strings begin with."""
+    n = min(len(a), len(b))
+    x, y = np.frombuffer(a[:n], np.uint64), np.frombuffer(b[:n], np.uint64)
+    return a[: 8 * int(np.append(x == y, False).argmin())]
+
+
+def _strings(pages: DataFrame, repeats: DataFrame) -> DataFrame:
+    """(host, keys, strings): the boilerplate of a host's repeated anchors, as token hashes.
+
+    Of each anchor: what all its occurrences share, and the surroundings found on as many pages as boilerplate needs.
+    Pages are counted by a hash of the surroundings; the tokens themselves leave a task once, not once a page.
+    """
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start in range(0, b.num_rows, PAGES):
+                part = b.slice(start, PAGES)
+                hosts, ids, least = (part.column(i).to_numpy() for i in (0, 2, 3))
+                tokens, stream, _, owner = _streams([_unpacked(p) for p in part.column(1).to_pylist()])
+                places, own = anchors(tokens, owner) if len(tokens) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+                hot = np.zeros(len(places), bool)
+                for host, row in zip(*np.unique(hosts, return_index=True), strict=True):
+                    mine = np.flatnonzero(hosts[stream[places]] == host)
+                    hot[mine] = np.isin(own[mine].view(np.int64), part.column(4)[int(row)].as_py())
+                begin, end = surroundings(places, owner)
+                of = stream[places[hot]]
+                before = [tokens[i:j][::-1].tobytes() for i, j in zip(begin[hot], places[hot], strict=True)]
+                after = [tokens[i:j].tobytes() for i, j in zip(places[hot], end[hot], strict=True)]
+                named = [hashlib.blake2b(bytes([len(x)]) + x + y, digest_size=8).digest() for x, y in zip(before, after, strict=True)]
+                named = np.frombuffer(b"".join(named), np.int64)
+                _, once = np.unique(np.stack([hosts[of], named]), axis=1, return_index=True)
+                rows = np.concatenate([np.arange(len(of)), once])
+                told = np.arange(len(rows)) >= len(of)
+                columns = [pa.array(x[rows]) for x in (hosts[of], least[of], own[hot].view(np.int64), named)]
+                columns += [pa.array([x[r] if t else None for r, t in zip(rows, told, strict=True)], pa.binary()) for x in (before, after)]
+                columns.append(pa.array(ids[of][rows], mask=told))
+                yield pa.RecordBatch.from_arrays(columns, names=["host", "least", "key", "around", "before", "after", "page"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            strings = []
+            for b0, b1, a0, a1, common in zip(*(c.to_pylist() for c in b.columns[2:]), strict=True):
+                found, run = {_joined(c["before"], c["after"]) for c in common}, _shared(a0, a1)
+                # Two runs of one hash share less than a run.
+                if a0 == a1 or len(run) >= 8 * RUN:
+                    found.add(_joined(_shared(b0, b1), run))
+                strings.append(sorted(found))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(strings, pa.list_(pa.binary()))], names=["host", "key", "strings"])
+
+    asked = pages.join(repeats, "host").select("host", "packed", "page", "least", "keys")
+    rows = asked.mapInArrow(around, "host long, least double, key long, around long, before binary, after binary, page long").distinct()
+    counted = rows.groupBy("host", "least", "key", "around").agg(F.count("page").alias("n"), F.max("before").alias("before"), F.max("after").alias("after"))
+    common = F.collect_list(F.when(F.col("n") >= F.col("least"), F.struct("before", "after")))
+    edges = counted.groupBy("host", "key").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("before", "after") for f in (F.min, F.max)], common.alias("common"))
+    strings = edges.mapInArrow(shared, "host long, key long, strings array<binary>")
+    return strings.groupBy("host").agg(F.collect_list("key").alias("keys"), F.array_distinct(F.flatten(F.collect_list("strings"))).alias("strings"))
 
 
 def _packed(blocks: list[str]) -> bytes:
@@ -189,22 +260,51 @@ def _unpacked(packed: bytes) -> list[str]:
     return text.split(_PART) if text else []
 
 
-def covered(blocks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each block its tokens, and the share of them whose nearest anchor is among the sorted ``keys``."""
-    tokens, _, block, owner = _streams([blocks])
-    size = np.bincount(block, minlength=len(blocks))
-    if not len(tokens) or not len(keys):
-        return size, np.zeros(len(blocks))
-    places, own = anchors(tokens, owner)
-    at = np.minimum(np.searchsorted(keys, own.view(np.int64)), len(keys) - 1)
-    hit = keys[at] == own.view(np.int64)
-    of = owner[places]
-    # An anchor stands for the tokens up to half way to the next one's run, the outer ones to the block's ends.
-    middle = (places[:-1] + places[1:] + RUN) // 2
-    begin, end = np.searchsorted(owner, of), np.searchsorted(owner, of, "right")
-    inner = of[1:] == of[:-1]
-    begin[1:][inner], end[:-1][inner] = middle[inner], middle[inner]
-    return size, np.bincount(block[places], hit * (end - begin), minlength=len(blocks)) / np.maximum(size, 1)
+def matched(tokens: np.ndarray, owner: np.ndarray, strings: list[np.ndarray]) -> np.ndarray:
+    """Which tokens of some blocks the strings cover: by RUN tokens or more that they share, or as a whole block.
+
+    A suffix shares ``d`` tokens with a string if one of the string's is in its interval of common prefixes of ``d``.
+    """
+    known = sum(map(len, strings))
+    tokens = np.concatenate([*strings, tokens])
+    owner = np.concatenate([np.repeat(np.arange(len(strings)), [len(x) for x in strings]), owner + len(strings)])
+    order, lcp = suffix_array(tokens, owner, REACH)
+    place = np.arange(len(tokens))
+    left = np.searchsorted(owner, owner, "right") - place
+    short = (np.searchsorted(owner, owner) == place) & (left < RUN)
+    whole = left[order]
+    twin = np.zeros(len(order), bool)
+    twin[1:] = (lcp[1:] == whole[1:]) & (whole[1:] == whole[:-1])
+    interval = np.cumsum(~twin)
+    hit = (np.bincount(interval, short[order] & (order < known)) > 0)[interval]
+    longest = np.zeros(len(tokens), np.int64)
+    longest[order[hit]] = whole[hit]
+    longest[~short] = 0
+    for depth in range(RUN, REACH + 1):
+        interval = np.cumsum(lcp < depth)
+        hit = (np.bincount(interval, order < known) > 0)[interval]
+        longest[order[hit]] = depth
+    longest = longest[known:]
+    steps = np.bincount(np.arange(len(longest)), longest > 0, len(longest) + 1) - np.bincount((np.arange(len(longest)) + longest)[longest > 0], minlength=len(longest) + 1)
+    return np.cumsum(steps)[:-1] > 0
+
+
+def covered(texts: list[list[str]], keys: np.ndarray, strings: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each block of a host's pages its tokens, and the share of them that the host's strings cover.
+
+    Only blocks with an anchor among the ``keys`` are looked at: equal blocks and long equal stretches have one.
+    """
+    tokens, _, _, owner = _streams(texts)
+    ends = np.cumsum([len(t) for t in texts])
+    size = np.bincount(owner, minlength=ends[-1])
+    share = np.zeros(ends[-1])
+    if len(tokens):
+        places, own = anchors(tokens, owner)
+        asked = np.isin(owner, owner[places[np.isin(own.view(np.int64), keys)]])
+        if asked.any():
+            of = owner[asked]
+            share = np.bincount(of, matched(tokens[asked], of, strings), minlength=ends[-1]) / np.maximum(size, 1)
+    return np.split(size, ends[:-1]), np.split(share, ends[:-1])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -234,16 +334,26 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     opened = source.mapInArrow(parsed, f"id {id_type}, url string, packed binary, marks binary, page long")
     opened = materialise(opened.withColumn("host", F.xxhash64(host(F.col("url")))), "page-blocks")
-    told = opened.join(materialise(_repeats(opened), "host-repeats"), "host", "left").select("id", "url", "packed", "marks", "keys")
+    strings = materialise(_strings(opened, materialise(_repeats(opened), "host-repeats")), "host-strings")
+    told = opened.join(strings, "host", "left").select("id", "url", "packed", "marks", "host", "keys", "strings")
 
     def unique(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
-            for packed, marks, keys in zip(*(c.to_pylist() for c in b.columns[2:]), strict=True):
-                blocks, inside, linked = _unpacked(packed), [m > 1 for m in marks], [m % 2 == 1 for m in marks]
-                size, share = covered(blocks, np.sort(np.array(keys or [], np.int64)))
-                fresh = [bool(s < COVERED or (i and n < RUN)) for s, i, n in zip(share, inside, size, strict=True)]
-                texts.append("\n\n".join(_chosen(blocks, inside, linked, fresh)))
+            blocks = [_unpacked(p) for p in b.column(2).to_pylist()]
+            fresh = [[True] * len(t) for t in blocks]
+            marks = b.column(3).to_pylist()
+            rows = collections.defaultdict(list)
+            for row, (host_id, told) in enumerate(zip(b.column(4).to_pylist(), b.column(5).is_valid().to_pylist(), strict=True)):
+                if told:
+                    rows[host_id].append(row)
+            for own in rows.values():
+                keys = np.array(b.column(5)[own[0]].as_py(), np.int64)
+                strings = [np.frombuffer(x, np.uint64) for x in b.column(6)[own[0]].as_py()]
+                for start in range(0, len(own), PAGES):
+                    part = own[start : start + PAGES]
+                    for row, size, share in zip(part, *covered([blocks[r] for r in part], keys, strings), strict=True):
+                        fresh[row] = [bool(s < COVERED or (m > 1 and n < RUN)) for s, m, n in zip(share, marks[row], size, strict=True)]
+            texts = ["\n\n".join(_chosen(t, [m > 1 for m in ms], [m % 2 == 1 for m in ms], f)) for t, ms, f in zip(blocks, marks, fresh, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
     result = told.mapInArrow(unique, f"id {id_type}, url string, text string")
